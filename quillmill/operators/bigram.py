@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.operators.lookup import lookup_join
-from quillmill.operators.tokenization import map_items_by_join
+from quillmill.operators.tokenization import map_items
+from quillmill.session import materialize
 
 PAIR = ("prev", "next")
 
@@ -48,9 +49,7 @@ def predict_next(model: DataFrame) -> DataFrame:
 
 def predict_rows(df: DataFrame, model: DataFrame, key: Sequence[str], ids: str = "input_ids", unknown: int = -1):
     """Add ``preds``: at every position, the predicted token after it."""
-    items = df.withColumn("__items", F.col(ids))
-    table = predict_next(model).select("prev", "predicted")
-    return map_items_by_join(items, table, key, "prev", "predicted", F.lit(unknown), "preds")
+    return map_items(df, ids, predict_next(model), "prev", "predicted", unknown, "preds", key)
 
 
 def prediction_hits(evaluated: DataFrame, model: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -108,14 +107,11 @@ def score_rows(
     Losses are computed once per distinct pair; rows fetch them by a lookup join
     that broadcasts the most frequent pairs. Pass a materialized table.
     """
-    each = count_pairs(df, key, ids, ignore)
-    distinct = each.select(*PAIR).distinct()
-    losses = pair_losses(distinct, model, k, vocab_size)
-    found = lookup_join(each, losses, PAIR)
-    return found.groupBy(*key).agg(
-        F.sum("c").alias("n_pairs"),
-        (F.sum(F.col("loss") * F.col("c")) / F.sum("c")).alias("loss"),
-    )
+    each = pairs(df, key, ids, ignore)
+    counted = each.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("c"))
+    losses = materialize(pair_losses(counted, model, k, vocab_size), "pair-losses")
+    found = lookup_join(each, losses, PAIR, frequency="c")
+    return found.groupBy(*key).agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("loss").alias("loss"))
 
 
 def curriculum(

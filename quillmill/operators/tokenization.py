@@ -23,12 +23,13 @@ MAX_SHIPPED = 1_000_000
 IDS_TYPE = "array<int>"
 
 
-def _shipped(vocab: DataFrame, limit: int = MAX_SHIPPED) -> pa.Table | None:
-    """The vocabulary as an Arrow table, or None when it is too large to ship."""
-    table = vocab.select("token", "id").limit(limit + 1).toArrow()
-    if table.num_rows > limit:
+def _shipped(table: DataFrame, columns: Sequence[str], limit: int) -> tuple[pa.Array, pa.Array] | None:
+    """Two columns as Arrow arrays, or None when there are too many rows to ship."""
+    rows = table.select(*columns).limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
         return None
-    return table.combine_chunks()
+    keys, values = (pa.concat_arrays(rows[c].chunks) if rows.num_rows else pa.array([], rows[c].type) for c in columns)
+    return keys, values
 
 
 def _words(text: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -57,15 +58,12 @@ def tokenize(
     ``key`` identifies a row; it is used only beyond ``max_shipped`` entries.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c != text_col]
-    table = _shipped(vocab, max_shipped)
-    if table is None:
+    small = _shipped(vocab, ("token", "id"), max_shipped)
+    if small is None:
         tokens = df.select(*keep, tokens_of(F.col(text_col)).alias("__items"))
         ids = map_items_by_join(tokens, vocab.select("token", "id"), key, "token", "id", F.lit(unk_id), "input_ids")
         return ids.select(*keep, "input_ids", _ones("input_ids"))
-    # ship the columns rather than objects: one copy per executor, not per task
-    shipped = df.sparkSession.sparkContext.broadcast(
-        (table["token"].combine_chunks(), table["id"].combine_chunks().cast(pa.int32()))
-    )
+    shipped = df.sparkSession.sparkContext.broadcast(small)
 
     @F.arrow_udf(IDS_TYPE)
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -130,28 +128,41 @@ def decode(
     unknown: str = "<unk>",
 ) -> DataFrame:
     """Add the text of an id array: the tokens joined by spaces."""
-    table = _shipped(vocab, max_shipped)
-    if table is None:
-        items = df.withColumn("__items", F.col(ids_col))
-        joined = map_items_by_join(
-            items, vocab.select("token", "id"), key, "id", "token", F.lit(unknown), "__tokens"
-        )
-        return joined.select(*df.columns, F.array_join("__tokens", " ").alias(out))
-    shipped = df.sparkSession.sparkContext.broadcast(
-        (table["token"].combine_chunks(), table["id"].combine_chunks().cast(pa.int32()))
-    )
+    decoded = map_items(df, ids_col, vocab, "id", "token", unknown, "__tokens", key, max_shipped)
+    return decoded.withColumn(out, F.array_join("__tokens", " ")).drop("__tokens")
 
-    @F.arrow_udf("string")
-    def to_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, known_ids = shipped.value
-        for ids in batches:
-            flat = known.take(pc.index_in(ids.flatten().cast(pa.int32()), value_set=known_ids))
-            sizes = pc.fill_null(pc.list_value_length(ids), 0).cast(pa.int32())
+
+def map_items(
+    df: DataFrame,
+    items: str,
+    table: DataFrame,
+    match: str,
+    value: str,
+    default,
+    out: str,
+    key: Sequence[str] = ("doc_id",),
+    max_shipped: int = MAX_SHIPPED,
+) -> DataFrame:
+    """Add ``out``: every element of an array column looked up in a keyed table.
+
+    Ships the table when it has at most ``max_shipped`` rows, joins otherwise.
+    """
+    small = _shipped(table, (match, value), max_shipped)
+    if small is None:
+        renamed = df.withColumn("__items", F.col(items))
+        return map_items_by_join(renamed, table.select(match, value), key, match, value, F.lit(default), out)
+    shipped = df.sparkSession.sparkContext.broadcast(small)
+
+    @F.arrow_udf(f"array<{dict(table.dtypes)[value]}>")
+    def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        keys, values = shipped.value
+        for lists in batches:
+            found = values.take(pc.index_in(lists.flatten().cast(keys.type), value_set=keys))
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32())
             offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
-            lists = pa.ListArray.from_arrays(offsets, pc.fill_null(flat, unknown))
-            yield pc.binary_join(lists, " ")
+            yield pa.ListArray.from_arrays(offsets, pc.fill_null(found, default))
 
-    return df.withColumn(out, _once(to_text)(F.col(ids_col)))
+    return df.withColumn(out, _once(look_up)(F.col(items)))
 
 
 def map_items_by_join(

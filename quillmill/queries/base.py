@@ -11,6 +11,7 @@ from quillmill.operators import ordering as o
 from quillmill.operators.splits import head_fraction_split
 from quillmill.operators.tokenization import tokenize
 from quillmill.operators.vocab import build_vocab, with_reserved_specials
+from quillmill.sources.datasets import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,9 +41,14 @@ def joined(ids: str | Column) -> Column:
     return F.array_join(column.cast("array<string>"), " ")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work on their text, on all cores."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the shard they belong to."""
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id",
         "text",
         "lang",
@@ -58,12 +64,12 @@ def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str, size: int = 30_000) -> DataFrame:
-    return with_reserved_specials(build_vocab(table(spark, sf_dir, "documents"), size))
+    return with_reserved_specials(build_vocab(texts(spark, sf_dir), size))
 
 
 def tokenized(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, size: int = 30_000) -> DataFrame:
     """doc_id (and the other columns of ``docs``), input_ids, attention_mask."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text") if docs is None else docs
+    rows = texts(spark, sf_dir).select("doc_id", "text") if docs is None else docs
     return tokenize(rows, vocabulary(spark, sf_dir, size))
 
 

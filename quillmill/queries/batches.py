@@ -18,6 +18,7 @@ from quillmill.queries.base import (
     query,
     split_documents,
     table,
+    texts,
     tokenized,
 )
 
@@ -247,7 +248,7 @@ def map_batches(spark, sf):
             "first_word": [w[0] for _, w in kept],
         }
 
-    rows = table(spark, sf, "documents").select("doc_id", "text")
+    rows = texts(spark, sf).select("doc_id", "text")
     return hooks.map_batches(
         rows, words, "doc_id long, n_words long, first_word string", batch_size=64, remove_columns=["text"]
     )

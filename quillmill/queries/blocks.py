@@ -19,6 +19,7 @@ from quillmill.queries.base import (
     query,
     split_documents,
     table,
+    texts,
     tokenized,
     vocabulary,
 )
@@ -208,7 +209,7 @@ def corpus_with_bibliography(spark, sf):
                sum((n + {BLOCK} - 1) // {BLOCK})::BIGINT AS blocks FROM c GROUP BY kind""",
 )
 def second_text_source(spark, sf):
-    docs = table(spark, sf, "documents").select(F.lit("doc").alias("kind"), "text")
+    docs = texts(spark, sf).select(F.lit("doc").alias("kind"), "text")
     turns = table(spark, sf, "conversations").select(F.col("role").alias("kind"), "text")
     ids = tokenize(union_sources(docs, turns), vocabulary(spark, sf))
     blocks = p.chunk_documents(ids, BLOCK)
@@ -230,11 +231,11 @@ def num_tokens(spark, sf):
         FROM documents JOIN toks USING (doc_id) GROUP BY lang""",
 )
 def total_flos(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = texts(spark, sf).select("doc_id", "lang", "text")
     return stats.total_flos(tokenized(spark, sf, docs), 6e6, ["lang"])
 
 
 @query("table_size", "SELECT round(sum(octet_length(encode(text)))::DOUBLE / 1e6::DOUBLE, 6) AS size_mb FROM documents")
 def table_size(spark, sf):
-    size = stats.table_size(table(spark, sf, "documents"))
+    size = stats.table_size(texts(spark, sf))
     return size.select(F.round("size_mb", 6).alias("size_mb"))

@@ -15,6 +15,7 @@ from quillmill.queries.base import (
     query,
     split_documents,
     table,
+    texts,
     tokenized,
     vocabulary,
 )
@@ -327,7 +328,7 @@ sizes AS (SELECT batch_id, count(*) AS n FROM ev GROUP BY batch_id)"""
 
 
 def _eval_losses(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf).select("doc_id", "text")
     blocks = packed_blocks(docs, vocabulary(spark, sf), 128, ["doc_id"])
     return batch_losses(blocks, 8, K, V)
 

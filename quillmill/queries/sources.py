@@ -20,6 +20,7 @@ from quillmill.queries.base import (
     runs_sql,
     split_documents,
     table,
+    texts,
     tokenized,
     vocabulary,
 )
@@ -155,7 +156,7 @@ def shard_sample(spark, sf):
 )
 def metrics_json(spark, sf):
     path = scratch_path(spark, "metrics")
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = texts(spark, sf).select("doc_id", "lang", "text")
     shards.write_metrics(corpus_stats(tokenized(spark, sf, docs), ["lang"]), path)
     return spark.read.schema("lang string, papers long, total_tokens long").json(path)
 

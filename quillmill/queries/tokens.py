@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from quillmill.operators import tokenization as t
 from quillmill.operators import vocab as v
 from quillmill.operators.batching import assign_batches
-from quillmill.queries.base import SPECIALS, TOKENS, ids_sql, joined, query, table, tokenized, vocab_sql, vocabulary
+from quillmill.queries.base import SPECIALS, TOKENS, ids_sql, joined, query, texts, tokenized, vocab_sql, vocabulary
 
 
 @query("vocabulary", f"WITH {vocab_sql()} SELECT token, id::INT AS id, n FROM built WHERE id < 30007")
 def vocabulary_table(spark, sf):
-    return v.build_vocab(table(spark, sf, "documents"))
+    return v.build_vocab(texts(spark, sf))
 
 
 @query(
@@ -25,7 +25,7 @@ def vocabulary_table(spark, sf):
         UNION ALL SELECT token, (SELECT max(id) FROM top)::INT + 1 + o FROM specials""",
 )
 def special_tokens_appended(spark, sf):
-    plain = v.build_vocab(table(spark, sf, "documents"), size=2000, first_id=0)
+    plain = v.build_vocab(texts(spark, sf), size=2000, first_id=0)
     return v.with_special_tokens(plain)
 
 
@@ -56,7 +56,7 @@ def tokenize_small_vocabulary(spark, sf):
 )
 def tokenize_by_join(spark, sf):
     """The way taken by vocabularies too large to ship."""
-    rows = table(spark, sf, "documents").select("doc_id", "text")
+    rows = texts(spark, sf).select("doc_id", "text")
     out = t.tokenize(rows, vocabulary(spark, sf), max_shipped=0)
     return out.select("doc_id", joined("input_ids").alias("input_ids"))
 
@@ -71,7 +71,7 @@ def tokenize_by_join(spark, sf):
         FROM m""",
 )
 def tokenize_padded(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", "text")
+    rows = texts(spark, sf).select("doc_id", "text")
     batched = assign_batches(rows, 8, ["doc_id"])
     out = t.tokenize_padded(batched, vocabulary(spark, sf), 256)
     return out.select(

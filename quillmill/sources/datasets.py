@@ -56,6 +56,16 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Rows of a table read in few pieces, dealt out by ``key`` to all cores.
+
+    A file with one row group is one task however large its texts are. A table of
+    many pieces is returned as it is: nothing large is ever exchanged here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores, *key)
+
+
 def read_table_slice(
     spark: SparkSession, name: str, lo_percent: float, hi_percent: float, order: Sequence[str]
 ) -> DataFrame:
