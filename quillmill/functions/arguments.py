@@ -13,7 +13,7 @@ def resolve_block_size(given: int | None, model_max_length: int, max_positions:
     return min(1024, max_positions) if max_positions > 0 else 1024
 
 
-def test_sample_sizes(batch: int, eval_steps: int, version: int = 2) -> tuple[int, int]:
+def sample_sizes(batch: int, eval_steps: int, version: int = 2) -> tuple[int, int]:
     """Rows of a train and a validation shard used in test mode."""
     if version == 2:
         return batch * eval_steps * 2, batch * eval_steps * 2

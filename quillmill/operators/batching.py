@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillmill.operators import ordering as o
 from quillmill.operators.tokenization import pad_to_longest
 from quillmill.operators.vocab import PAD_ID
+from quillmill.session import materialize
 
 
 def _cut(df: DataFrame, batch_size: int, drop_last: bool) -> DataFrame:
@@ -116,7 +117,11 @@ def assign_steps(batches: DataFrame, accum: int) -> DataFrame:
     that was never taken.
     """
     seen = o.row_index(batches, ["epoch", "batch_id"], (), "__seen")
-    per_epoch = batches.groupBy("epoch").agg(F.count(F.lit(1)).alias("__in_epoch"), F.max("batch_id").alias("__last"))
+    # written first: one row per epoch is then a broadcast by its true size
+    per_epoch = materialize(
+        batches.groupBy("epoch").agg(F.count(F.lit(1)).alias("__in_epoch"), F.max("batch_id").alias("__last")),
+        "epochs",
+    )
     marked = seen.join(per_epoch, "epoch").withColumn(
         "is_update",
         ((F.col("__seen") + 1) % accum == 0)

@@ -11,6 +11,8 @@ from quillmill.operators import ordering as o
 from quillmill.operators.splits import head_fraction_split
 from quillmill.operators.tokenization import tokenize
 from quillmill.operators.vocab import build_vocab, with_reserved_specials
+from quillmill.schemas import VOCAB
+from quillmill.session import scratch_path
 from quillmill.sources.datasets import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,8 +65,21 @@ def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head_fraction_split(docs, {"val": 0.1, "test": 0.2}, ["doc_id"], rest="train")
 
 
+_built: dict[tuple[str, str, int], str] = {}
+
+
 def vocabulary(spark: SparkSession, sf_dir: str, size: int = 30_000) -> DataFrame:
-    return with_reserved_specials(build_vocab(texts(spark, sf_dir), size))
+    """The tokenizer asset of these queries: built and written once per session and input.
+
+    A tokenizer is made ahead of the work that uses it; the query ``vocabulary``
+    covers the making.
+    """
+    made = (spark.sparkContext.applicationId, sf_dir, size)
+    if made not in _built:
+        path = scratch_path(spark, "vocabulary")
+        with_reserved_specials(build_vocab(texts(spark, sf_dir), size)).write.parquet(path)
+        _built[made] = path
+    return spark.read.schema(VOCAB).parquet(_built[made])
 
 
 def tokenized(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, size: int = 30_000) -> DataFrame:
