@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions.columns import decode_text
 from quillmill.operators import ordering as o
-from quillmill.operators.combine import join_manifest
+from quillmill.operators.combine import join_manifest, missing_files
 from quillmill.session import materialize
 
 MAX_LISTED = 10_000
@@ -47,35 +47,43 @@ def read_documents(
     glob: str = "*.tex",
     max_listed: int = MAX_LISTED,
 ) -> DataFrame:
-    """The manifest rows with the ``text`` of their file.
+    """The manifest rows with the ``text`` of their file; a missing file raises.
 
     Up to ``max_listed`` paths are handed to the reader, so other files are not
-    even listed, and a missing file raises. A longer manifest is joined with the
-    files under ``root``; AQE broadcasts the manifest when it is small, otherwise
-    the content is shuffled by path once.
+    even listed. A longer manifest is joined with the files under ``root``; AQE
+    broadcasts the manifest when it is small, otherwise the content is shuffled by
+    path once. Spark skips files of zero bytes: a listed file that exists and gives
+    no row is an empty text.
     """
-    listed = manifest.select(path_col).distinct().limit(max_listed + 1).collect()
-    keyed = manifest.withColumn("path", plain_path(F.col(path_col)))
-    if not listed:
+    listed = _some(manifest.select(path_col).distinct(), max_listed)
+    if listed == []:
         return manifest.withColumn("text", F.lit(None).cast("string"))
-    if len(listed) <= max_listed:
-        files = spark.read.format("binaryFile").load([r[0] for r in listed])
-        keyed = F.broadcast(keyed) if _at_most(keyed, 10 * max_listed) else keyed
+    reader = spark.read.format("binaryFile")
+    keyed = manifest.withColumn("path", plain_path(F.col(path_col)))
+    if listed is not None:
+        files = reader.load(listed)
+    elif root is None:
+        raise ValueError(f"a manifest of more than {max_listed} files needs their root folder")
     else:
-        if root is None:
-            raise ValueError(f"a manifest of more than {max_listed} files needs their root folder")
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", glob)
-            .load(root)
-        )
-    texts = files.select(plain_path(F.col("path")).alias("path"), decode_text(F.col("content")).alias("text"))
-    return join_manifest(keyed, texts).select(*manifest.columns, "text")
-
-
-def _at_most(df: DataFrame, n: int) -> bool:
-    return df.limit(n + 1).count() <= n
+        files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    path = plain_path(F.col("path")).alias("path")
+    unread = missing_files(keyed, files.select(path))
+    if listed is None:
+        without_row = _some(unread.select(path_col), max_listed)
+        if without_row is None:
+            raise FileNotFoundError(f"more than {max_listed} listed files are missing or empty")
+        if without_row:
+            spark.read.format("binaryFile").load(without_row)  # raises when one does not exist
+    texts = files.select(path, decode_text(F.col("content")).alias("text"))
+    sized = F.broadcast(keyed) if _some(keyed.select("path"), 10 * max_listed) is not None else keyed
+    read = join_manifest(sized, texts).select(*manifest.columns, "text")
+    return read.unionByName(unread.select(*manifest.columns, F.lit("").alias("text")))
+
+
+def _some(df: DataFrame, limit: int) -> list[str] | None:
+    """The values of a one-column table, or None when there are more than ``limit``."""
+    rows = df.limit(limit + 1).collect()
+    return [r[0] for r in rows] if len(rows) <= limit else None
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
