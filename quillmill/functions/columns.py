@@ -75,7 +75,28 @@ def with_ignored_pads(ids: Column, pad_id: int, ignore: int = IGNORE_INDEX) -> C
     return F.transform(ids, lambda x: F.when(x == pad_id, F.lit(ignore)).otherwise(x))
 
 
+def round_binary(value: Column, places: int) -> Column:
+    """Round the exact binary value, ties to even, as Python's ``round`` does.
+
+    Spark's ``round`` looks at the shortest decimal form, so it takes 32.87875
+    (really a little less) for a tie. Here the distance to the nearest half step
+    is computed without error by splitting the value into two short parts.
+    """
+    scale = float(2 * 10**places)
+    halves = F.rint(value * scale)
+    head = value.cast("float").cast("double")
+    rest = (head * scale - halves) + (value - head) * scale
+    down, up = (halves - 1) / 2, (halves + 1) / 2
+    steps = (
+        F.when(halves % 2 == 0, halves / 2)
+        .when(rest > 0, up)
+        .when(rest < 0, down)
+        .otherwise(F.when(down % 2 == 0, down).otherwise(up))
+    )
+    return steps / float(10**places)
+
+
 def epoch_of(epoch: Column, step_in_epoch: Column, steps_in_epoch: Column, skipped: Column | None = None) -> Column:
     """Fractional epoch after a batch, as it is logged."""
     done = step_in_epoch + 1 + (skipped if skipped is not None else F.lit(0))
-    return F.round(epoch + done / steps_in_epoch, 2)
+    return round_binary(epoch + done / steps_in_epoch, 2)

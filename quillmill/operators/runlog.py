@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.functions.columns import is_nonfinite
+from quillmill.functions.columns import is_nonfinite, round_binary
 from quillmill.operators import ordering as o
 
 
@@ -23,17 +23,12 @@ def _interval(every: int):
 def interval_sums(log: DataFrame, every: int, nan_filter: bool = False) -> DataFrame:
     """Loss sum and number of steps of every logging interval of every run.
 
-    With ``nan_filter`` a NaN or infinite loss is replaced, in step order, by the
-    sum so far over (1 + steps taken since the last log). An interval holds at
-    most ``every`` rows, the bound of the collected list.
+    Losses are added in step order, so that the sum is the same in every run of
+    the job. With ``nan_filter`` a NaN or infinite loss is replaced by the sum so
+    far over (1 + steps taken since the last log). An interval holds at most
+    ``every`` rows, the bound of the collected list.
     """
     tagged = log.select("run_id", "step", "loss", _interval(every).alias("interval_id"))
-    if not nan_filter:
-        return tagged.groupBy("run_id", "interval_id").agg(
-            F.sum("loss").alias("loss_sum"),
-            F.count(F.lit(1)).alias("n_steps"),
-            F.max("step").alias("last_step"),
-        )
     listed = tagged.groupBy("run_id", "interval_id").agg(
         F.array_sort(F.collect_list(F.struct("step", "loss"))).alias("__steps"),
         F.count(F.lit(1)).alias("n_steps"),
@@ -44,7 +39,7 @@ def interval_sums(log: DataFrame, every: int, nan_filter: bool = False) -> DataF
         "__steps",
         F.lit(0.0),
         lambda acc, x: F.when(
-            is_nonfinite(x["loss"]),
+            F.lit(nan_filter) & is_nonfinite(x["loss"]),
             # the step counter is still at step - 1 while step is being computed
             acc + acc / (x["step"] - logged_until),
         ).otherwise(acc + x["loss"]),
@@ -54,8 +49,9 @@ def interval_sums(log: DataFrame, every: int, nan_filter: bool = False) -> DataF
 
 def logged_loss(log: DataFrame, every: int, nan_filter: bool = False) -> DataFrame:
     """Loss as logged: mean over the steps since the last log, rounded to 4 places."""
+    mean = round_binary(F.col("loss_sum") / F.col("n_steps"), 4)
     return interval_sums(log, every, nan_filter).select(
-        "run_id", "interval_id", "last_step", "n_steps", F.round(F.col("loss_sum") / F.col("n_steps"), 4).alias("loss")
+        "run_id", "interval_id", "last_step", "n_steps", mean.alias("loss")
     )
 
 

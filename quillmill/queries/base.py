@@ -62,7 +62,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return head_fraction_split(docs, {"val": 0.1, "test": 0.2}, ["doc_id"], rest="train")
+    return head_fraction_split(docs, {"val": 0.25, "test": 0.25}, ["doc_id"], rest="train")
 
 
 _built: dict[tuple[str, str, int], str] = {}
@@ -111,8 +111,8 @@ SPLIT = (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY year, month ORDER BY doc_id) - 1 AS pos,
                   count(*) OVER (PARTITION BY year, month) AS n FROM docs),
 tagged AS (SELECT * EXCLUDE (pos, n),
-                  CASE WHEN pos < floor(n * 0.1::DOUBLE) THEN 'val'
-                       WHEN pos < floor(n * 0.1::DOUBLE) + floor(n * 0.2::DOUBLE) THEN 'test'
+                  CASE WHEN pos < floor(n * 0.25::DOUBLE) THEN 'val'
+                       WHEN pos < floor(n * 0.25::DOUBLE) + floor(n * 0.25::DOUBLE) THEN 'test'
                        ELSE 'train' END AS split FROM ranked)"""
 )
 
@@ -164,6 +164,17 @@ chunks AS (SELECT doc_id, chunk_idx, part, real::INT AS real,
     )
 
 
+def rounded_sql(value: str, places: int) -> str:
+    """Python's rounding of a double, as ``round_binary`` does it."""
+    s, d = f"{2 * 10**places}.0::DOUBLE", f"{10**places}.0::DOUBLE"
+    half = f"round_even(({value}) * {s}, 0)"
+    head = f"({value})::FLOAT::DOUBLE"
+    rest = f"(({head} * {s} - {half}) + (({value}) - {head}) * {s})"
+    return f"""(CASE WHEN {half} % 2 = 0 THEN {half} / 2 WHEN {rest} > 0 THEN ({half} + 1) / 2
+        WHEN {rest} < 0 THEN ({half} - 1) / 2 WHEN (({half} - 1) / 2) % 2 = 0 THEN ({half} - 1) / 2
+        ELSE ({half} + 1) / 2 END / {d})"""
+
+
 # run_log(run_id, step, loss, ts); `nan` variant with missing losses
 def runs_sql(with_nan: bool = False) -> str:
     loss = "CASE WHEN event_id % 97 = 0 THEN 'nan'::DOUBLE ELSE value END" if with_nan else "value"

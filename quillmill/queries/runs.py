@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import columns as c
 from quillmill.operators import checkpoints, runlog
-from quillmill.queries.base import query, run_log, runs_sql, table
+from quillmill.queries.base import query, rounded_sql, run_log, runs_sql, table
 
 RUNS = runs_sql()
 NAN_RUNS = runs_sql(with_nan=True)
@@ -20,8 +20,9 @@ def run_log_steps(spark, sf):
 @query(
     "logged_loss",
     f"""WITH {RUNS}, i AS (SELECT *, ceil(step / 10.0)::BIGINT AS interval_id FROM runs)
-        SELECT run_id, interval_id, max(step) AS last_step, count(*) AS n_steps, round(sum(loss) / count(*), 4) AS loss
-        FROM i GROUP BY run_id, interval_id""",
+        , s AS (SELECT run_id, interval_id, max(step) AS last_step, count(*) AS n_steps,
+                list_reduce(list(loss ORDER BY step), lambda a, b: a + b) AS total FROM i GROUP BY run_id, interval_id)
+        SELECT run_id, interval_id, last_step, n_steps, {rounded_sql("total / n_steps", 4)} AS loss FROM s""",
 )
 def logged_loss(spark, sf):
     return runlog.logged_loss(run_log(spark, sf), 10)
@@ -41,8 +42,8 @@ sums AS (SELECT run_id, interval_id, arg_max(acc, step) AS loss_sum, count(*) AS
 
 @query(
     "logged_loss_nan_filter",
-    f"""WITH {RECURRENCE} SELECT run_id, interval_id, last_step, n_steps, round(loss_sum / n_steps, 4) AS loss
-        FROM sums""",
+    f"""WITH {RECURRENCE} SELECT run_id, interval_id, last_step, n_steps,
+        {rounded_sql("loss_sum / n_steps", 4)} AS loss FROM sums""",
 )
 def logged_loss_nan_filter(spark, sf):
     return runlog.logged_loss(run_log(spark, sf, with_nan=True), 10, nan_filter=True)
@@ -70,7 +71,7 @@ def train_loss(spark, sf):
 
 @query(
     "fractional_epoch",
-    f"""WITH {RUNS} SELECT run_id, step, round((step - 1) // 16 + ((step - 1) % 16 + 1) / 16.0::DOUBLE, 2) AS epoch
+    f"""WITH {RUNS} SELECT run_id, step, {rounded_sql("(step - 1) // 16 + ((step - 1) % 16 + 1) / 16.0::DOUBLE", 2)} AS epoch
         FROM runs""",
 )
 def fractional_epoch(spark, sf):

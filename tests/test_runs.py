@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quillmill.functions.columns import round_binary
 from quillmill.operators import bigram, checkpoints, hooks, metrics, runlog
 from quillmill.operators.lookup import lookup_join
 
@@ -83,6 +84,17 @@ def test_retention(spark, limit):
     assert got == expected
 
 
+def test_rounding_is_that_of_python(spark):
+    rng = random.Random(9)
+    values = [22.99825, 32.87875, 0.00005, -0.00015, 2.5, 1e9 + 0.00005, 0.0, 1.00005, NAN, INF, -INF]
+    values += [rng.randrange(10**7) / 10**5 for _ in range(2000)] + [rng.uniform(-9, 9) for _ in range(500)]
+    values += [rng.randrange(10**6) / 8 / 10**3 for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", round_binary(F.col("v"), 4).alias("r")).collect():
+        expected = round(r.v, 4) if math.isfinite(r.v) else r.v
+        assert r.r == expected or (math.isnan(r.r) and math.isnan(expected)), r
+
+
 def test_metric_names(spark):
     log = spark.createDataFrame(
         [("r", 1, {"eval_loss": 2.0}), ("r", 2, {"loss": 1.0})], "run_id string, step long, metrics map<string,double>"
