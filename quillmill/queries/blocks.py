@@ -84,9 +84,10 @@ def block_counts(spark, sf):
 PACKED = """
 grouped AS (SELECT doc_id, ids, pos // {group} AS group_id FROM
             (SELECT doc_id, ids, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM ids)),
-streamed AS (SELECT group_id, flatten(list(ids ORDER BY doc_id)) AS all_ids FROM grouped GROUP BY group_id),
-packed AS (SELECT group_id, b AS block_id, all_ids[b * {block} + 1 : (b + 1) * {block}] AS ids FROM
-           (SELECT group_id, all_ids, unnest(range(0, len(all_ids) // {block})) AS b FROM streamed))"""
+spots AS (SELECT group_id, doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS spot FROM grouped),
+streamed AS (SELECT group_id, id, row_number() OVER (PARTITION BY group_id ORDER BY doc_id, spot) - 1 AS off FROM spots),
+packed AS (SELECT group_id, off // {block} AS block_id, list(id ORDER BY off) AS ids FROM streamed
+           GROUP BY group_id, off // {block} HAVING count(*) = {block})"""
 
 
 @query(

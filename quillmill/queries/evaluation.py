@@ -312,9 +312,10 @@ r AS (SELECT doc_id, ids, row_number() OVER (ORDER BY doc_id) AS r, count(*) OVE
 s AS (SELECT doc_id, ids, CASE WHEN r <= round_even(n * 5.0::DOUBLE / 100, 0) THEN 'validation' ELSE 'train' END AS split
       FROM r),
 g AS (SELECT split, (row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1) // 1000 AS group_id, doc_id, ids FROM s),
-st AS (SELECT split, group_id, flatten(list(ids ORDER BY doc_id)) AS all_ids FROM g GROUP BY split, group_id),
-bl AS (SELECT split, group_id, b AS block_id, all_ids[b * 128 + 1 : (b + 1) * 128] AS ids FROM
-       (SELECT split, group_id, all_ids, unnest(range(0, len(all_ids) // 128)) AS b FROM st)),
+sp AS (SELECT split, group_id, doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS spot FROM g),
+st AS (SELECT split, group_id, id, row_number() OVER (PARTITION BY split, group_id ORDER BY doc_id, spot) - 1 AS off FROM sp),
+bl AS (SELECT split, group_id, off // 128 AS block_id, list(id ORDER BY off) AS ids FROM st
+       GROUP BY split, group_id, off // 128 HAVING count(*) = 128),
 bp AS (SELECT split, group_id, block_id, unnest(ids[1:127]) AS prev, unnest(ids[2:128]) AS next FROM bl),
 model AS (SELECT prev, next, count(*) AS c FROM bp WHERE split = 'train' GROUP BY prev, next),
 totals AS (SELECT prev, sum(c)::BIGINT AS total FROM model GROUP BY prev),
