@@ -71,10 +71,13 @@ def pair_losses(evaluated: DataFrame, model: DataFrame, k: float, vocab_size: in
     """Loss of every distinct pair of a counted table.
 
     Both sides are counts, so a join key occurs at most once per shard: no pair can
-    make a hot partition.
+    make a hot partition. The merge hint is there because the number of pairs has no
+    bound and Spark's size estimate of an exploded table is far too low to decide on
+    a broadcast. ``model`` is read twice; pass a materialized table.
     """
     totals = model.groupBy("prev").agg(F.sum("c").alias("total"))
-    scored = evaluated.join(model.withColumnRenamed("c", "seen"), list(PAIR), "left").join(totals, "prev", "left")
+    seen = model.withColumnRenamed("c", "seen").hint("merge")
+    scored = evaluated.join(seen, list(PAIR), "left").join(totals, "prev", "left")
     return scored.withColumn("loss", _smoothed(F.col("seen"), F.col("total"), k, vocab_size)).drop("seen", "total")
 
 
@@ -141,7 +144,7 @@ def curriculum(
     seen = counted.withColumn("seen", F.sum("added").over(pair_window)).where(F.col("c") > 0)
     by_token = counted.groupBy(*shard, "prev").agg(F.sum("added").alias("added"))
     totals = by_token.select(*shard, "prev", F.sum("added").over(until.partitionBy("prev")).alias("total"))
-    scored = seen.join(totals, [*shard, "prev"]).withColumn(
+    scored = seen.join(totals.hint("merge"), [*shard, "prev"]).withColumn(
         "loss", _smoothed(F.col("seen"), F.col("total"), k, vocab_size)
     )
     return (

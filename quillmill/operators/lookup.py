@@ -17,7 +17,7 @@ def lookup_join(
 
     The ``hot_keys`` most frequent keys of ``left`` are joined by broadcast (their
     number is the size bound); every other key holds at most 1/(hot_keys+1) of the
-    rows and goes through a shuffled join. ``left`` is scanned twice (three times
+    rows and goes through a shuffled merge join (``right`` has no size bound). ``left`` is scanned twice (three times
     when no ``frequency`` column of ``right`` says how often a key occurs in
     ``left``), so pass a materialized table when it is costly to compute.
     """
@@ -36,6 +36,6 @@ def lookup_join(
 def _joined(left: DataFrame, right: DataFrame, hot_right: DataFrame, on: list[str], values: list[str]) -> DataFrame:
     tagged = left.join(F.broadcast(hot_right), on, "left")
     done = tagged.where(F.col("__hot")).drop("__hot")
-    cold = tagged.where(F.col("__hot").isNull()).drop("__hot", *values).join(right, on, "left")
+    cold = tagged.where(F.col("__hot").isNull()).drop("__hot", *values).join(right.hint("merge"), on, "left")
     columns = [*left.columns, *values]
     return done.select(*columns).unionByName(cold.select(*columns))

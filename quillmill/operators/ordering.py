@@ -53,16 +53,19 @@ def range_bucket(
     order: Sequence[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
+    least: int | None = None,
 ) -> Column:
     """A column giving the number of the key range a row falls in.
 
     Range limits come from a sample of the order columns (at most about
     ``SAMPLES_PER_BUCKET * max_buckets`` keys reach the driver). They decide only
-    how even the buckets are, never the result.
+    how even the buckets are, never the result. There are at least ``least``
+    buckets (one per core by default).
     """
     keys = df.select(*order)
     n = keys.count()
-    wanted = max(math.ceil(n / rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
+    least = df.sparkSession.sparkContext.defaultParallelism if least is None else least
+    wanted = max(math.ceil(n / rows_per_bucket), least)
     wanted = min(wanted, max_buckets, n)
     if wanted <= 1:
         return F.lit(0)
@@ -176,7 +179,8 @@ def rank_cuts(
     order columns are read, and only the buckets holding a cut are sorted, so a
     "first k rows" split costs no exchange of the table itself.
     """
-    keys = df.select(*by, *order, (range_bucket(df, order) if bucket is None else bucket).alias(BUCKET))
+    # only keys are sorted here, so one bucket will do for a small table
+    keys = df.select(*by, *order, (range_bucket(df, order, least=1) if bucket is None else bucket).alias(BUCKET))
     cell = [*by, BUCKET]
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

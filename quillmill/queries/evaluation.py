@@ -34,6 +34,10 @@ def _train(rows):
     return rows.where(F.col("split") == "train")
 
 
+def _model(rows):
+    return materialize(bigram.fit_bigram(_train(rows)), "pair-model")
+
+
 def _val(rows):
     return rows.where(F.col("split") == "val")
 
@@ -71,7 +75,7 @@ def next_token(spark, sf):
 def next_token_hits(spark, sf):
     rows = _split_ids(spark, sf)
     return bigram.prediction_hits(
-        bigram.count_pairs(_val(rows), ["lang"]), bigram.fit_bigram(_train(rows)), ["lang"]
+        bigram.count_pairs(_val(rows), ["lang"]), _model(rows), ["lang"]
     )
 
 
@@ -83,7 +87,7 @@ def next_token_hits(spark, sf):
 def shard_perplexity(spark, sf):
     rows = _split_ids(spark, sf)
     by = ["year", "month"]
-    out = bigram.score_shards(bigram.count_pairs(_val(rows), by), bigram.fit_bigram(_train(rows)), K, V, by)
+    out = bigram.score_shards(bigram.count_pairs(_val(rows), by), _model(rows), K, V, by)
     return out.select(
         *by, "n_pairs", F.round("mean_loss", 6).alias("mean_loss"), F.round("perplexity", 4).alias("perplexity")
     )
@@ -97,7 +101,7 @@ def shard_perplexity(spark, sf):
 def document_losses(spark, sf):
     rows = _split_ids(spark, sf)
     evaluated = rows.where(F.col("split") != "train")
-    out = bigram.score_rows(evaluated, bigram.fit_bigram(_train(rows)), K, V, ["doc_id"])
+    out = bigram.score_rows(evaluated, _model(rows), K, V, ["doc_id"])
     return out.select("doc_id", "n_pairs", F.round("loss", 6).alias("loss"))
 
 
@@ -128,7 +132,7 @@ def curriculum(spark, sf):
 )
 def token_accuracy(spark, sf):
     rows = _split_ids(spark, sf)
-    predicted = bigram.predict_rows(rows, bigram.fit_bigram(_train(rows)), ["doc_id"])
+    predicted = bigram.predict_rows(rows, _model(rows), ["doc_id"])
     out = m.token_accuracy(predicted, ["split"], labels="input_ids")
     return out.withColumn("accuracy", F.round("accuracy", 6))
 
@@ -140,7 +144,7 @@ def token_accuracy(spark, sf):
 )
 def token_accuracy_masked(spark, sf):
     rows = _split_ids(spark, sf)
-    predicted = bigram.predict_rows(rows, bigram.fit_bigram(_train(rows)), ["doc_id"])
+    predicted = bigram.predict_rows(rows, _model(rows), ["doc_id"])
     masked = predicted.withColumn("labels", F.transform("input_ids", lambda x: F.when(x % 5 == 0, -100).otherwise(x)))
     return m.token_accuracy(masked, ["lang"], mask=True).select("lang", "n_hits", "n_predictions")
 
@@ -300,7 +304,7 @@ def metric_hook(spark, sf):
         return {"accuracy": right / sum(len(l) - 1 for l in labels)}
 
     rows = _split_ids(spark, sf)
-    predicted = bigram.predict_rows(_val(rows).where(F.size("input_ids") > 1), bigram.fit_bigram(_train(rows)), ["doc_id"])
+    predicted = bigram.predict_rows(_val(rows).where(F.size("input_ids") > 1), _model(rows), ["doc_id"])
     out = hooks.apply_metric(predicted, accuracy, ["accuracy"], ["doc_id"], labels="input_ids")
     return out.withColumn("accuracy", F.round("accuracy", 6))
 

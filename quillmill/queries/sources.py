@@ -26,6 +26,7 @@ from quillmill.queries.base import (
 )
 from quillmill.session import scratch_path
 from quillmill.sources import datasets, files, shards
+from quillmill.sources.datasets import spread
 
 
 def _write_csv(df, path):
@@ -57,17 +58,23 @@ def manifest_scan(spark, sf):
 
 @query(
     "raw_file_read",
-    r"""SELECT page_id, md5(replace(replace(html, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10)) AS text_md5
-        FROM pages""",
+    """SELECT (page_id % 4)::INT AS year, (1 + page_id % 12)::INT AS month,
+              md5(replace(replace(html, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10)) AS text_md5
+       FROM pages""",
 )
 def raw_file_read(spark, sf):
+    """One file per page in folders by year and month; the manifest is the list of them."""
     root = scratch_path(spark, "raw")
-    pages = table(spark, sf, "pages").select("page_id", "html")
-    pages.write.partitionBy("page_id").text(root)
-    page = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("long")
-    manifest = files.list_files(spark, root, "*.txt").select(F.col("path").alias("tex"), page.alias("page_id"))
-    read = files.read_documents(spark, manifest, root=root, glob="*.txt")
-    return read.select("page_id", F.md5("text").alias("text_md5"))
+    pages = table(spark, sf, "pages").select(
+        (F.col("page_id") % 4).alias("year"), (F.col("page_id") % 12 + 1).alias("month"), "html"
+    )
+    spread(pages, "year", "month").write.partitionBy("year", "month").option("maxRecordsPerFile", 1).text(root)
+    year, month = (F.regexp_extract("path", f"{part}=([0-9]+)", 1).cast("int") for part in ("year", "month"))
+    manifest = files.list_files(spark, root, "*.txt").select(
+        F.col("path").alias("tex"), year.alias("year"), month.alias("month")
+    )
+    read = files.read_documents(spark, manifest, glob="*.txt")
+    return read.select("year", "month", F.md5("text").alias("text_md5"))
 
 
 @query("bibliography_scan", "SELECT text, count(*) AS n_rows FROM benchmark GROUP BY text")

@@ -44,40 +44,40 @@ def read_documents(
     manifest: DataFrame,
     path_col: str = "tex",
     root: str | None = None,
-    glob: str = "*.tex",
+    glob: str = "*",
     max_listed: int = MAX_LISTED,
 ) -> DataFrame:
     """The manifest rows with the ``text`` of their file; a missing file raises.
 
-    Up to ``max_listed`` paths are handed to the reader, so other files are not
-    even listed. A longer manifest is joined with the files under ``root``; AQE
-    broadcasts the manifest when it is small, otherwise the content is shuffled by
-    path once. Spark skips files of zero bytes: a listed file that exists and gives
-    no row is an empty text.
+    Only the folders the manifest names are listed, up to ``max_listed`` of them;
+    beyond that, the tree under ``root``. Files and manifest are joined on the
+    path: AQE broadcasts the manifest when it is small, otherwise the content is
+    shuffled once. Spark skips files of zero bytes, so a listed file that exists
+    and gives no row is an empty text.
     """
-    listed = _some(manifest.select(path_col).distinct(), max_listed)
-    if listed == []:
-        return manifest.withColumn("text", F.lit(None).cast("string"))
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     keyed = manifest.withColumn("path", plain_path(F.col(path_col)))
-    if listed is not None:
-        files = reader.load(listed)
+    folders = _some(manifest.select(F.regexp_replace(path_col, "/[^/]*$", "")).distinct(), max_listed)
+    if folders == []:
+        return manifest.withColumn("text", F.lit(None).cast("string"))
+    if folders is not None:
+        files = reader.load(folders)
     elif root is None:
-        raise ValueError(f"a manifest of more than {max_listed} files needs their root folder")
+        raise ValueError(f"a manifest of more than {max_listed} folders needs their root folder")
     else:
-        files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+        files = reader.option("recursiveFileLookup", True).load(root)
     path = plain_path(F.col("path")).alias("path")
-    unread = missing_files(keyed, files.select(path))
-    if listed is None:
-        without_row = _some(unread.select(path_col), max_listed)
-        if without_row is None:
-            raise FileNotFoundError(f"more than {max_listed} listed files are missing or empty")
-        if without_row:
-            spark.read.format("binaryFile").load(without_row)  # raises when one does not exist
+    unread = _some(missing_files(keyed, files.select(path)).select(path_col).distinct(), max_listed)
+    if unread is None:
+        raise FileNotFoundError(f"more than {max_listed} listed files are missing or empty")
+    if unread:
+        spark.read.format("binaryFile").load(unread)  # raises when one does not exist
     texts = files.select(path, decode_text(F.col("content")).alias("text"))
-    sized = F.broadcast(keyed) if _some(keyed.select("path"), 10 * max_listed) is not None else keyed
-    read = join_manifest(sized, texts).select(*manifest.columns, "text")
-    return read.unionByName(unread.select(*manifest.columns, F.lit("").alias("text")))
+    read = join_manifest(keyed, texts).select(*manifest.columns, "text")
+    if not unread:
+        return read
+    empty = manifest.where(F.col(path_col).isin(unread)).withColumn("text", F.lit(""))
+    return read.unionByName(empty.select(*manifest.columns, "text"))
 
 
 def _some(df: DataFrame, limit: int) -> list[str] | None:

@@ -22,4 +22,4 @@ def small_buckets(monkeypatch):
     from quillmill.operators import ordering
 
     original = ordering.range_bucket
-    monkeypatch.setattr(ordering, "range_bucket", lambda df, order: original(df, order, rows_per_bucket=7))
+    monkeypatch.setattr(ordering, "range_bucket", lambda df, order, least=None: original(df, order, rows_per_bucket=7))
