@@ -45,17 +45,36 @@ def length_grouped_batches(
     seed: int,
     key: str,
     length: str,
-    mega: int = 50,
+    mega: int | None = None,
+    longest_first: bool = True,
     drop_last: bool = False,
 ) -> DataFrame:
-    """Random megabatches of ``mega`` batches, each sorted by falling length."""
-    rows = batch_size * mega
+    """Random megabatches of ``mega`` batches, each sorted by falling length.
+
+    Without ``mega`` there are at least four megabatches, of at most 50 batches
+    each. ``longest_first`` swaps the longest row of all (of the first megabatch
+    that has one as long) with the very first row, so that a batch too large for
+    the memory fails at once.
+    """
     indexed = o.random_index(df, key, (seed,), "__pos", total="__total")
-    megabatch = F.floor(F.col("__pos") / rows)
-    inside = Window.partitionBy("mega_id").orderBy(F.desc(length), key)
-    placed = indexed.withColumn("mega_id", megabatch).withColumn(
-        "__pos", F.col("mega_id") * rows + F.row_number().over(inside) - 1
+    batches = F.lit(mega) if mega else F.greatest(F.least(F.floor(F.col("__total") / (4 * batch_size)), F.lit(50)), F.lit(1))
+    rows = batches * batch_size
+    inside = Window.partitionBy("mega_id").orderBy(F.desc(length), "__pos")
+    placed = indexed.withColumn("mega_id", F.floor(F.col("__pos") / rows)).withColumn(
+        "__rank", F.row_number().over(inside) - 1
     )
+    start = F.col("mega_id") * rows
+    if longest_first:
+        heads = placed.where(F.col("__rank") == 0)
+        longest = heads.agg(F.max(F.struct(F.col(length).alias("len"), (-F.col("mega_id")).alias("m"))).alias("top"))
+        swapped = F.abs(longest.select("top.m").scalar())
+        # the first rows of megabatch 0 and of the longest one change places
+        start = (
+            F.when((F.col("__rank") == 0) & (F.col("mega_id") == 0), swapped * rows)
+            .when((F.col("__rank") == 0) & (F.col("mega_id") == swapped), F.lit(0))
+            .otherwise(start)
+        )
+    placed = placed.withColumn("__pos", start + F.col("__rank")).drop("__rank")
     return _cut(placed, batch_size, drop_last)
 
 
@@ -101,6 +120,11 @@ def resume_point(step: int, steps_per_epoch: int, accum: int) -> tuple[int, int]
     return step // steps_per_epoch, step % steps_per_epoch * accum
 
 
+def resume_point_by_batches(step: int, batches_per_epoch: int, accum: int) -> tuple[int, int]:
+    """The same, counting every batch of an epoch, also those of an incomplete step."""
+    return divmod(step * accum, batches_per_epoch)
+
+
 def resume_from(df: DataFrame, step: int, steps_per_epoch: int, accum: int) -> DataFrame:
     """Batches that are still to be seen in the epoch being resumed."""
     _, skipped = resume_point(step, steps_per_epoch, accum)

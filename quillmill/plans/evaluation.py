@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.operators import bigram
 from quillmill.operators.batching import assign_batches
+from quillmill.operators.combine import combine_splits
 from quillmill.operators.metrics import mean_loss, perplexity
 from quillmill.operators.packing import pack_batches
 from quillmill.operators.splits import percent_split, take_clamped
@@ -16,6 +17,15 @@ from quillmill.operators.tokenization import tokenize
 from quillmill.session import materialize
 
 
+def train_and_validation(
+    files: Mapping[str, DataFrame], percent: float, order: Sequence[str]
+) -> DataFrame:
+    """One table with a ``split`` column; the validation part is carved out of train when there is none."""
+    if "validation" in files:
+        return combine_splits(files)
+    return percent_split(files["train"], percent, order)
+
+
 def packed_blocks(
     documents: DataFrame,
     vocab: DataFrame,

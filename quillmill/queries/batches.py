@@ -84,14 +84,18 @@ def shuffled_full_batches(spark, sf):
 @query(
     "length_grouped_batches",
     f"""WITH {TOKENS}, r AS (SELECT doc_id, len(tok) AS n_tokens,
-              (row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) - 1) // 160 AS mega_id FROM toks),
-        p AS (SELECT doc_id, mega_id, mega_id * 160 - 1
-              + row_number() OVER (PARTITION BY mega_id ORDER BY n_tokens DESC, doc_id) AS pos FROM r)
+              row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) - 1 AS rpos, count(*) OVER () AS n FROM toks),
+        m AS (SELECT *, 16 * greatest(least(n // 64, 50), 1) AS rows FROM r),
+        k AS (SELECT *, rpos // rows AS mega_id, row_number() OVER (PARTITION BY rpos // rows
+              ORDER BY n_tokens DESC, rpos) - 1 AS rank FROM m),
+        t AS (SELECT mega_id AS top FROM k WHERE rank = 0 ORDER BY n_tokens DESC, mega_id LIMIT 1),
+        p AS (SELECT doc_id, mega_id, CASE WHEN rank = 0 AND mega_id = 0 THEN top * rows
+              WHEN rank = 0 AND mega_id = top THEN 0 ELSE mega_id * rows + rank END AS pos FROM k, t)
         SELECT doc_id, mega_id, pos // 16 AS batch_id, (pos % 16)::INT AS pos_in_batch FROM p""",
 )
 def length_grouped_batches(spark, sf):
     rows = tokenized(spark, sf).select("doc_id", F.size("input_ids").alias("n_tokens"))
-    return b.length_grouped_batches(rows, 16, 42, "doc_id", "n_tokens", mega=10).drop("n_tokens")
+    return b.length_grouped_batches(rows, 16, 42, "doc_id", "n_tokens").drop("n_tokens")
 
 
 @query(

@@ -146,6 +146,7 @@ def test_step_plan(spark):
 
 def test_resume():
     assert b.resume_point(7, 3, 4) == (2, 4)
+    assert b.resume_point_by_batches(7, 13, 4) == (2, 2)
 
 
 def test_optimizer_steps_short_epoch(spark):

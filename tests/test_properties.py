@@ -125,8 +125,24 @@ def test_contiguous_ranks(spark, small_buckets, n, world, size):
 
 def test_length_groups_fall_within_a_megabatch(spark):
     df = spark.range(95).select("id", (F.col("id") * 37 % 19).alias("len"))
-    rows = b.length_grouped_batches(df, 4, 1, "id", "len", mega=5).orderBy("batch_id", "pos_in_batch").collect()
+    grouped = b.length_grouped_batches(df, 4, 1, "id", "len", mega=5, longest_first=False)
+    rows = grouped.orderBy("batch_id", "pos_in_batch").collect()
     for mega in range(5):
         lens = [r.len for r in rows if r.mega_id == mega]
         assert lens == sorted(lens, reverse=True)
     assert [(r.batch_id, r.pos_in_batch) for r in rows] == [(i // 4, i % 4) for i in range(95)]
+    moved = b.length_grouped_batches(df, 4, 1, "id", "len", mega=5).orderBy("batch_id", "pos_in_batch").collect()
+    longest = next(i for i in range(0, 95, 20) if rows[i].len == max(r.len for r in rows))
+    order = [r.id for r in rows]
+    order[0], order[longest] = order[longest], order[0]
+    assert [r.id for r in moved] == order
+
+
+def test_validation_is_carved_out_only_when_missing(spark, small_buckets):
+    from quillmill.plans.evaluation import train_and_validation
+
+    train, held = spark.range(40), spark.range(100, 103)
+    given = train_and_validation({"train": train, "validation": held}, 5, ["id"])
+    assert {(r.split, r["count"]) for r in given.groupBy("split").count().collect()} == {("train", 40), ("validation", 3)}
+    carved = train_and_validation({"train": train}, 5, ["id"]).where("split = 'validation'")
+    assert sorted(r.id for r in carved.collect()) == [0, 1]
