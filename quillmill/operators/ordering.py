@@ -63,6 +63,8 @@ def range_bucket(
     buckets (one per core by default).
     """
     keys = df.select(*order)
+    if any(kind == "binary" for _, kind in keys.dtypes):
+        raise TypeError("order columns must not be binary")
     n = keys.count()
     least = df.sparkSession.sparkContext.defaultParallelism if least is None else least
     wanted = max(math.ceil(n / rows_per_bucket), least)
@@ -83,7 +85,7 @@ def range_bucket(
     else:
         item = keys.schema.simpleString()
         text = json.dumps([dict(zip(order, c)) for c in cuts], default=str)
-    limits = F.from_json(F.lit(text), f"array<{item}>")
+    limits = F.sort_array(F.from_json(F.lit(text), f"array<{item}>"))
     key = _key(order)
     steps = [F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))]
     # binary search: how many limits are <= key

@@ -284,13 +284,18 @@ def speed_metrics(spark, sf):
 
 @query(
     "padded_predictions",
-    f"""WITH {ids_sql()}, p AS (SELECT doc_id, ids[1:300] AS ids FROM ids),
-        w AS (SELECT max(len(ids)) AS longest FROM p)
-        SELECT doc_id, array_to_string(list_resize(ids, longest, -100), ' ') AS preds FROM p, w""",
+    f"""WITH {ids_sql()}, w AS (SELECT max(len(ids)) AS longest FROM ids)
+        SELECT doc_id, longest::INT AS n, (longest - len(ids))::INT AS n_fillers,
+               md5(array_to_string(list_resize(ids, longest, -100), ' ')) AS preds_md5 FROM ids, w""",
 )
 def padded_predictions(spark, sf):
-    rows = tokenized(spark, sf).select("doc_id", F.slice("input_ids", 1, 300).alias("preds"))
-    return m.pad_predictions(rows).select("doc_id", joined("preds").alias("preds"))
+    rows = tokenized(spark, sf).select("doc_id", F.col("input_ids").alias("preds"))
+    return m.pad_predictions(rows).select(
+        "doc_id",
+        F.size("preds").alias("n"),
+        F.size(F.filter("preds", lambda x: x == c.IGNORE_INDEX)).alias("n_fillers"),
+        F.md5(joined("preds")).alias("preds_md5"),
+    )
 
 
 @query(

@@ -146,3 +146,24 @@ def test_validation_is_carved_out_only_when_missing(spark, small_buckets):
     assert {(r.split, r["count"]) for r in given.groupBy("split").count().collect()} == {("train", 40), ("validation", 3)}
     carved = train_and_validation({"train": train}, 5, ["id"]).where("split = 'validation'")
     assert sorted(r.id for r in carved.collect()) == [0, 1]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "double", "decimal(12,3)", "string"])
+def test_order_keys_of_every_type(spark, small_buckets, kind):
+    rng = random.Random(11)
+    keys = rng.sample(range(-5000, 5000), 120)
+    k = F.col("k")
+    typed = {
+        "timestamp": F.timestamp_micros(F.lit(10**15) + k * 1_234_567),
+        "timestamp_ntz": F.timestamp_micros(F.lit(10**15) + k * 1_234_567).cast("timestamp_ntz"),
+        "date": F.date_add(F.lit("2024-01-01").cast("date"), k.cast("int")),
+        "double": k / 7,
+        "decimal(12,3)": (k / 8).cast("decimal(12,3)"),
+        "string": F.concat(F.element_at(F.array(*map(F.lit, ['"', "\\", "é", "𝄞", "z", " "])), F.pmod(k, F.lit(6)).cast("int") + 1), k.cast("string")),
+    }
+    df = spark.createDataFrame([(i,) for i in keys], "k long").select("k", typed[kind].alias("o"))
+    got = {r.k: r.pos for r in o.row_index(df, ["o"]).collect()}
+    expected = {r.k: i for i, r in enumerate(df.orderBy("o").collect())}
+    assert got == expected
+    pairs = {r.k: r.pos for r in o.row_index(df.withColumn("h", k % 3), ["h", "o"]).collect()}
+    assert pairs == {r.k: i for i, r in enumerate(df.withColumn("h", k % 3).orderBy("h", "o").collect())}
