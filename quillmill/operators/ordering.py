@@ -72,7 +72,7 @@ def range_bucket(
     if wanted <= 1:
         return F.lit(0)
     share = min(1.0, SAMPLES_PER_BUCKET * wanted / n)
-    sample = sorted(tuple(r) for r in keys.sample(share, seed=7).collect())
+    sample = sorted(tuple(r) for r in keys.na.drop().sample(share, seed=7).collect())
     if not sample:
         return F.lit(0)
     cuts = sorted({sample[i * len(sample) // wanted] for i in range(1, wanted)})
@@ -96,6 +96,15 @@ def range_bucket(
     )
 
 
+def _checked(bucket: Column, columns: Sequence[str]) -> Column:
+    """The bucket of a row; a null in a key fails the job rather than losing the row."""
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    message = F.lit(f"null in a key column: {', '.join(columns)}")
+    return F.when(missing, F.raise_error(message).cast("int")).otherwise(bucket)
+
+
 def random_key(key: str, *salts: object) -> Column:
     """A repeatable random order: the md5 of the key with its seeds."""
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), *[F.lit(str(s)) for s in salts]))
@@ -120,7 +129,8 @@ def running(
     With ``totals`` the whole-group value is added as ``<name>_total``.
     One exchange of the rows, on (by, bucket); a hot group is spread over buckets.
     """
-    keyed = df.withColumn(BUCKET, range_bucket(df, order) if bucket is None else bucket)
+    bucket = range_bucket(df, order) if bucket is None else bucket
+    keyed = df.withColumn(BUCKET, _checked(bucket, [*by, *order]))
     cell = [*by, BUCKET]
     parts = keyed.groupBy(*cell).agg(*[_STEP[fn](c).alias(name) for name, (fn, c) in aggs.items()])
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -135,7 +145,8 @@ def running(
     inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # names starting with "__here_" keep aggregate inputs apart from outputs of the same name
     local = keyed.select("*", *[_STEP[fn](c).over(inside).alias(f"__here_{name}") for name, (fn, c) in aggs.items()])
-    out = local.join(carry, cell, "inner")
+    # every cell has its carry; an inner join would let Spark drop null keys unseen
+    out = local.join(carry, cell, "left")
     kept = [c for c in df.columns if c not in aggs]
     merged = [
         _MERGE[fn](F.col(f"__before_{name}"), F.col(f"__here_{name}")).alias(name) for name, (fn, _) in aggs.items()
@@ -182,7 +193,8 @@ def rank_cuts(
     "first k rows" split costs no exchange of the table itself.
     """
     # only keys are sorted here, so one bucket will do for a small table
-    keys = df.select(*by, *order, (range_bucket(df, order, least=1) if bucket is None else bucket).alias(BUCKET))
+    bucket = range_bucket(df, order, least=1) if bucket is None else bucket
+    keys = df.select(*by, *order, _checked(bucket, order).alias(BUCKET))
     cell = [*by, BUCKET]
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

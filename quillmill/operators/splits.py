@@ -34,9 +34,13 @@ def head_fraction_split(
         cuts[f"__cut_{name}"] = lambda n, shares=shares: sum(F.floor(n * F.lit(s)) for s in shares)
     joined = o.with_cuts(df, order, cuts, by)
     split = F.lit(rest)
+    sharded = F.lit(True)
+    for c in by:
+        sharded = sharded & F.col(c).isNotNull()
     for name in reversed(names):
         split = F.when(o.before_cut(order, f"__cut_{name}"), F.lit(name)).otherwise(split)
-    out = joined.withColumn("split", split).drop(*cuts)
+    # a row without a shard belongs to none of its splits
+    out = joined.withColumn("split", F.when(sharded, split).otherwise(F.lit(rest))).drop(*cuts)
     return out if rest is not None else out.where(F.col("split").isNotNull())
 
 

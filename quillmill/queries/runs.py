@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillmill.functions import columns as c
 from quillmill.operators import checkpoints, runlog
 from quillmill.queries.base import query, rounded_sql, run_log, runs_sql, table
+from quillmill.session import materialize
 
 RUNS = runs_sql()
 NAN_RUNS = runs_sql(with_nan=True)
@@ -125,7 +126,8 @@ def running_best(spark, sf):
 
 def _checkpoints(spark, sf):
     path = F.concat(F.lit("runs/"), F.col("run_id"), F.lit("/checkpoint-"), F.col("step"))
-    return run_log(spark, sf).select("run_id", path.alias("path"), F.col("loss").alias("metric"))
+    rows = run_log(spark, sf).select("run_id", path.alias("path"), F.col("loss").alias("metric"))
+    return materialize(rows, "checkpoints")
 
 
 @query(

@@ -167,3 +167,18 @@ def test_order_keys_of_every_type(spark, small_buckets, kind):
     assert got == expected
     pairs = {r.k: r.pos for r in o.row_index(df.withColumn("h", k % 3), ["h", "o"]).collect()}
     assert pairs == {r.k: i for i, r in enumerate(df.withColumn("h", k % 3).orderBy("h", "o").collect())}
+
+
+@pytest.mark.parametrize("broken", [(None, "a"), (5, None)])
+def test_null_keys_are_not_lost(spark, small_buckets, broken):
+    df = spark.createDataFrame([*[(i, "a") for i in range(30) if i != 5], broken], "k long, g string")
+    with pytest.raises(Exception, match="null in a key column"):
+        o.row_index(df, ["k"], ["g"]).collect()
+
+
+def test_rows_without_a_shard_are_in_no_split(spark, small_buckets):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else 0, 1) for i in range(40)], "id long, year int, month int")
+    out = splits.head_fraction_split(df, {"val": 1.0}, ["id"]).collect()
+    assert len(out) == 32 and all(r.year == 0 for r in out)
+    rest = splits.head_fraction_split(df, {"val": 1.0}, ["id"], rest="unused").groupBy("split").count().collect()
+    assert {r.split: r["count"] for r in rest} == {"val": 32, "unused": 8}
