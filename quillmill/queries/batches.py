@@ -21,10 +21,16 @@ from quillmill.queries.base import (
     texts,
     tokenized,
 )
+from quillmill.session import materialize
 
 ROWS = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS n FROM documents"
 
 
+def _blocks(spark, sf):
+    """Blocks are written before they are indexed: an index reads its keys more than once."""
+    return materialize(chunk_documents(tokenized(spark, sf), BLOCK), "blocks")
+
+
 def _ids(spark, sf):
     return table(spark, sf, "documents").select("doc_id")
 
@@ -44,7 +50,7 @@ def sequential_batches(spark, sf):
         SELECT pos // 16 AS batch_id, count(*) AS n, sum(len)::BIGINT AS n_slots FROM r GROUP BY pos // 16""",
 )
 def block_batches(spark, sf):
-    blocks = chunk_documents(tokenized(spark, sf), BLOCK).select("doc_id", "chunk_idx", F.size("input_ids").alias("len"))
+    blocks = _blocks(spark, sf).select("doc_id", "chunk_idx", F.size("input_ids").alias("len"))
     batched = b.assign_batches(blocks, 16, ["doc_id", "chunk_idx"])
     return batched.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("n_slots"))
 
@@ -94,7 +100,7 @@ def shuffled_full_batches(spark, sf):
         SELECT doc_id, mega_id, pos // 16 AS batch_id, (pos % 16)::INT AS pos_in_batch FROM p""",
 )
 def length_grouped_batches(spark, sf):
-    rows = tokenized(spark, sf).select("doc_id", F.size("input_ids").alias("n_tokens"))
+    rows = materialize(tokenized(spark, sf).select("doc_id", F.size("input_ids").alias("n_tokens")), "lengths")
     return b.length_grouped_batches(rows, 16, 42, "doc_id", "n_tokens").drop("n_tokens")
 
 
@@ -160,8 +166,7 @@ def optimizer_steps(spark, sf):
                ORDER BY pos) AS input_ids, sum(real)::BIGINT AS mask_sum FROM m GROUP BY batch_id""",
 )
 def collated_batches(spark, sf):
-    blocks = chunk_documents(tokenized(spark, sf), BLOCK)
-    batched = b.assign_batches(blocks, 4, ["doc_id", "chunk_idx"])
+    batched = b.assign_batches(_blocks(spark, sf), 4, ["doc_id", "chunk_idx"])
     ones = F.aggregate(F.flatten("attention_mask"), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     return b.collate(batched).select(
         "batch_id", "n", joined(F.flatten("input_ids")).alias("input_ids"), ones.alias("mask_sum")
@@ -236,7 +241,7 @@ def tokens_seen(spark, sf):
         .groupBy(F.col("batch_id").alias("step"))
         .agg(F.sum("k").alias("n_tokens"))
     )
-    return stats.tokens_seen(steps, ["step"])
+    return stats.tokens_seen(materialize(steps, "steps"), ["step"])
 
 
 @query(
