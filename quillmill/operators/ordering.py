@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from quillmill.session import materialize
 
-ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 1 << 14
+ROWS_PER_BUCKET = 200_000
+MAX_BUCKETS = 1 << 16
 SAMPLES_PER_BUCKET = 16
 
 BUCKET = "__bucket"
@@ -110,7 +110,7 @@ def random_key(key: str, *salts: object) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), *[F.lit(str(s)) for s in salts]))
 
 
-def random_bucket(hashed: str, digits: int = 3) -> Column:
+def random_bucket(hashed: str, digits: int = 4) -> Column:
     """Buckets of an md5 order need no sample: the leading hex digits are uniform."""
     return F.conv(F.substring(F.col(hashed), 1, digits), 16, 10).cast("int")
 

@@ -82,7 +82,7 @@ def random_holdout(df: DataFrame, fraction: float, seed: int, key: str) -> DataF
     hashed = df.withColumn("__random", o.random_key(key, seed))
     order = ["__random", key]
     cuts = {"__cut": lambda n: F.bround(n * F.lit(float(fraction)))}
-    joined = o.with_cuts(hashed, order, cuts, bucket=o.random_bucket("__random"))
+    joined = o.with_cuts(hashed, order, cuts, bucket=o.random_bucket("__random", digits=3))
     split = F.when(o.before_cut(order, "__cut"), "eval").otherwise("train")
     return joined.withColumn("split", split).drop("__cut", "__random")
 
