@@ -3,7 +3,7 @@
 Nothing else in the library imports this subpackage.
 """
 
-from quillmill.llm import classifier, fingerprints, jaccard, mixing, pages, quality, sharding, tokens  # noqa: F401  (imported for registration)
+from quillmill.llm import classifier, fingerprints, jaccard, mixing, pages, pii, quality, sharding, tokens  # noqa: F401  (imported for registration)
 from quillmill.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
