@@ -292,7 +292,7 @@ def _next_regions(against: DataFrame, chosen: DataFrame, known: DataFrame, num:
     return apart_regions.union(whole)
 
 
-def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text", with_node: bool = False) -> DataFrame:
     """(id, n_shingles, component_id, first) of every row: the smallest id among the documents that
     links lead to, and whether the row is its component's first (the least id; among rows with that id
     the one whose set hash is least).
@@ -309,16 +309,47 @@ def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc
     placed = materialize(placed.select("id", "n_shingles", "node", "comp"), "placed")
     linked = placed.where("node is not null")
     least = materialize(linked.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("least")), "least")
+    node = ["node"] if with_node else []
     joined = linked.join(least, "comp").select(
         "id",
+        *node,
         "n_shingles",
         F.col("least.id").alias("component_id"),
         (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("node") == F.col("least.node"))).alias("first"),
     )
-    blank = placed.where("node is null").select("id", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("first"))
+    blank = placed.where("node is null").select("id", *node, "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("first"))
     return joined.union(blank)
 
 
+def keep_one_of_each(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of ``join_classes``: its first; rows without shingles all stay.
+
+    Columns stay as they are, whatever their names. Of repeated rows one stays.
+    """
+    found = join_classes(docs, k, num, den, id_col, text_col, with_node=True)
+    found = materialize(found.select("id", "node", "first"), "classes")
+    others = found.where("not first").select("id", "node").distinct()
+    repeated = found.where("first and node is not null").groupBy("id", "node").agg(F.count("*").alias("n")).where("n > 1")
+    marks = materialize(others.withColumn("mark", F.lit(0)).union(repeated.select("id", "node", F.lit(1))), "marks")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), record.alias("record"))
+    record_type = rows.schema["record"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), k) for t in batch.column("text")]
+            nodes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), nodes, batch.column("record")], ["id", "node", "record"])
+
+    noded = rows.mapInArrow(run, f"id {id_type}, node bigint, record {record_type}")
+    right = _small(marks.select(F.col("id").alias("of_id"), F.col("node").alias("of_node"), "mark"))
+    marked = noded.join(right, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("node") == F.col("of_node")), "left")
+    plain = marked.where("mark is null").select("record")
+    one = marked.where("mark = 1").dropDuplicates(["id", "node"]).select("record")
+    return plain.union(one).select("record.*")
+
+
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark, sf_dir):
     found = join_classes(read(spark, sf_dir, "documents"), 3, 90, 100)

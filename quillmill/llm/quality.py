@@ -182,8 +182,7 @@ def _inverse(moments: DataFrame, spread: float) -> DataFrame:
 
 def _attach(vectors: DataFrame, estimates: DataFrame, groups: int) -> DataFrame:
     """By broadcast for a checked number of groups, by a join that Spark may split beyond."""
-    right = F.broadcast(estimates) if groups <= BROADCAST_GROUPS else estimates
-    return vectors.join(right, ["lang_key", "source_key"])
+    return vectors.join(_near(estimates, groups), ["lang_key", "source_key"])
 
 
 def grouped(vectors: DataFrame, least: int) -> DataFrame:
@@ -244,21 +243,46 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text")
     )
     measured = materialize(with_statistics(rows, ["id", "lang", "source"]), "statistics")
-    measured = measured.withColumn("base_failed", base_failed())
-    distinct = measured.where(~F.col("base_failed")).select("lang", "source", *PARTS).distinct()
-    distinct = materialize(distinct, "vectors")
+    return _judged(measured, *_fit(measured)).select("id", *COUNTS, "base_failed", "distance", "kept")
+
+
+def _fit(measured: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(groups, estimates, number of groups) from all rows of (lang, source, counts, parts)."""
+    distinct = materialize(measured.where(~base_failed()).select("lang", "source", *PARTS).distinct(), "vectors")
     keys = materialize(grouped(distinct, LEAST), "groups")
     groups = keys.count()
-    near = F.broadcast(keys) if groups <= BROADCAST_GROUPS else keys
-    same = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
-    vectors = materialize(distinct.join(near, same).select("lang_key", "source_key", *PARTS), "vectors")
-    estimates = estimates_of(vectors, groups)
-    right = F.broadcast(estimates) if groups <= BROADCAST_GROUPS else estimates
-    # groups of failed rows only have no estimate; those rows are rejected as it is
-    judged = measured.join(near, same, "left").join(right, ["lang_key", "source_key"], "left")
-    distance = F.when(~F.col("base_failed"), _distance())
-    kept = ~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= CUT)
-    return judged.select("id", *COUNTS, "base_failed", distance.alias("distance"), kept.alias("kept"))
+    vectors = distinct.join(_near(keys, groups), _same_group()).select("lang_key", "source_key", *PARTS)
+    return keys, estimates_of(materialize(vectors, "vectors"), groups), groups
+
+
+def _near(df: DataFrame, groups: int) -> DataFrame:
+    return F.broadcast(df) if groups <= BROADCAST_GROUPS else df
+
+
+def _same_group() -> Column:
+    return F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
+
+
+def _judged(measured: DataFrame, keys: DataFrame, estimates: DataFrame, groups: int) -> DataFrame:
+    """Adds base_failed, distance and kept; groups of failed rows only have no estimate, nor need one."""
+    joined = measured.withColumn("base_failed", base_failed()).join(_near(keys, groups), _same_group(), "left")
+    joined = joined.join(_near(estimates, groups), ["lang_key", "source_key"], "left")
+    joined = joined.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    return joined.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUT))
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their columns as they are, whatever their names.
+
+    The statistics are taken twice, so that whole texts needn't be shuffled to meet their verdicts.
+    """
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"), record.alias("record")
+    )
+    fitted = _fit(materialize(with_statistics(rows, ["lang", "source"]), "statistics"))
+    judged = _judged(with_statistics(rows, ["lang", "source", "record"]), *fitted)
+    return judged.where("kept").select("record.*")
 
 
 @query("op8_rules")
