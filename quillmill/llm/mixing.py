@@ -84,8 +84,7 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int, id_col: str = "doc_i
     copies = drawn.select("record", "id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy_no"))
     order = F.xxhash64(F.lit(seed), "id", "copy_no")
     mixed = copies.withColumn("order", order).repartition("order").sortWithinPartitions("order")
-    out = mixed.select("record.*", "copy_no")
-    return out.drop("copy_no") if copy_col is None else out.withColumnRenamed("copy_no", copy_col)
+    return mixed.select("record.*") if copy_col is None else mixed.select("record.*", F.col("copy_no").alias(copy_col))
 
 
 #: Shares in proportion to the square root of a source's size: small sources up, the hot one down.
