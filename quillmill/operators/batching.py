@@ -89,8 +89,9 @@ def shard_for_ranks(
 
     ``interleaved`` deals whole batches in turn (needs ``batch_id``).
     ``contiguous`` gives every rank one run of rows of equal length, a multiple of
-    ``batch_size``; the table is extended with its first rows to fill the last
-    ranks (needs ``order``), and ``is_padding`` marks those copies.
+    ``batch_size``; the table is extended with its rows from the first on, again and
+    again if need be, to fill the last ranks (needs ``order``), and ``is_padding``
+    marks those copies.
     """
     if mode == "interleaved":
         return df.withColumn("rank", F.pmod(F.col("batch_id"), F.lit(world)).cast("int"))
@@ -101,17 +102,15 @@ def shard_for_ranks(
     step = batch_size or 1
     indexed = o.row_index(df, order, (), "__pos", total="__total")
     share = F.ceil(F.col("__total") / (world * step)) * step
-    copies = F.when(
-        F.col("__pos") < share * world - F.col("__total"),
-        F.array(F.lit(False), F.lit(True)),
-    ).otherwise(F.array(F.lit(False)))
-    extended = indexed.withColumn("is_padding", F.explode(copies)).withColumn(
-        "__pos", F.when(F.col("is_padding"), F.col("__pos") + F.col("__total")).otherwise(F.col("__pos"))
+    last = F.floor((share * world - 1 - F.col("__pos")) / F.col("__total"))
+    extended = indexed.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    extended = extended.withColumn("is_padding", F.col("__copy") > 0).withColumn(
+        "__pos", F.col("__pos") + F.col("__copy") * F.col("__total")
     )
     return (
         extended.withColumn("rank", F.floor(F.col("__pos") / share).cast("int"))
         .withColumn("pos_in_rank", F.col("__pos") % share)
-        .drop("__pos", "__total")
+        .drop("__pos", "__total", "__copy")
     )
 
 
@@ -156,13 +155,17 @@ def assign_steps(batches: DataFrame, accum: int) -> DataFrame:
     return done.withColumn("step", F.col("__done") - F.col("is_update").cast("long") + 1).drop("__done")
 
 
-def collate(df: DataFrame, pad_id: int = PAD_ID) -> DataFrame:
-    """One row per batch: its rows padded to the longest and stacked in order."""
-    padded = pad_to_longest(df, "batch_id", pad_id)
-    stacked = padded.groupBy("batch_id").agg(
+def collate(df: DataFrame, pad_id: int = PAD_ID, by: Sequence[str] = ()) -> DataFrame:
+    """One row per batch: its rows padded to the longest and stacked in order.
+
+    ``by`` are the columns that batches were assigned by, as their ids begin anew in each group.
+    """
+    padded = pad_to_longest(df, [*by, "batch_id"], pad_id)
+    stacked = padded.groupBy(*by, "batch_id").agg(
         F.array_sort(F.collect_list(F.struct("pos_in_batch", "input_ids", "attention_mask"))).alias("__rows")
     )
     return stacked.select(
+        *by,
         "batch_id",
         F.size("__rows").alias("n"),
         F.transform("__rows", lambda r: r["input_ids"]).alias("input_ids"),

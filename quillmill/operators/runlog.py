@@ -77,7 +77,7 @@ def with_metric(log: DataFrame, metric: str, out: str = "metric") -> DataFrame:
 def _best(greater: bool, metric: str):
     """(metric, step) of the best record as an aggregate; the earliest wins a tie."""
     m, step = F.col(metric), F.col("step")
-    comparable = F.when(~F.isnan(m), F.struct(m.alias("m"), (-step if greater else step).alias("s")))
+    comparable = F.when(m.isNotNull() & ~F.isnan(m), F.struct(m.alias("m"), (-step if greater else step).alias("s")))
     return F.max(comparable) if greater else F.min(comparable)
 
 
@@ -85,11 +85,12 @@ def best_checkpoint(log: DataFrame, metric: str = "metric", greater: bool = Fals
     """Step and metric of the best record of every run.
 
     Only a strictly better value replaces the best. A NaN never does; but a NaN in
-    the first record stays, since nothing compares as better than it.
+    the first record stays, since nothing compares as better than it. Records without
+    a metric don't count; a run of such records only has no best.
     """
-    first = F.min(F.struct(F.col("step").alias("s"), F.col(metric).alias("m")))
+    first = F.min(F.when(F.col(metric).isNotNull(), F.struct(F.col("step").alias("s"), F.col(metric).alias("m"))))
     grouped = log.groupBy("run_id").agg(first.alias("f"), _best(greater, metric).alias("b"))
-    stuck = F.isnan("f.m")
+    stuck = F.coalesce(F.isnan("f.m"), F.lit(False))
     step = F.when(stuck, F.col("f.s")).otherwise(F.abs("b.s"))
     return grouped.select(
         "run_id", step.alias("best_step"), F.when(stuck, F.col("f.m")).otherwise(F.col("b.m")).alias("best_metric")
@@ -104,24 +105,27 @@ def running_best(log: DataFrame, metric: str = "metric", greater: bool = False)
         log,
         ["step"],
         {
-            "__first": ("min", F.struct(F.col("step").alias("s"), m.alias("m"))),
+            "__first": ("min", F.when(m.isNotNull(), F.struct(F.col("step").alias("s"), m.alias("m")))),
             "running_best": (fn, F.when(~F.isnan(m), m)),
         },
         ["run_id"],
     )
-    stuck = F.isnan("__first.m")
+    stuck = F.coalesce(F.isnan("__first.m"), F.lit(False))
     return out.withColumn("running_best", F.when(stuck, F.col("__first.m")).otherwise(F.col("running_best"))).drop(
         "__first"
     )
 
 
 def leaderboard(log: DataFrame, k: int, direction: str = "minimize", metric: str = "metric") -> DataFrame:
-    """The ``k`` best runs by their last recorded objective."""
+    """The ``k`` best runs by their last recorded objective; NaN comes last in both directions.
+
+    Records without an objective don't count, nor do runs that have none.
+    """
     if direction not in ("minimize", "maximize"):
         raise ValueError(f"direction is 'minimize' or 'maximize', not {direction!r}")
-    last = log.groupBy("run_id").agg(
+    last = log.where(F.col(metric).isNotNull()).groupBy("run_id").agg(
         F.max_by(metric, "step").alias("objective"),
         F.max("step").alias("last_step"),
     )
     order = F.asc("objective") if direction == "minimize" else F.desc("objective")
-    return last.orderBy(order, "run_id").limit(k)
+    return last.orderBy(F.isnan("objective"), order, "run_id").limit(k)

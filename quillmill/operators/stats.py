@@ -42,19 +42,33 @@ def split_rollup(df: DataFrame) -> DataFrame:
     return df.rollup("split", "year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def num_examples(df: DataFrame, batch_size: int | None = None) -> DataFrame:
-    """Number of rows; with a batch size, the estimate batches * batch size."""
+def num_examples(df: DataFrame, batch_size: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Number of rows; with a batch size, the estimate batches * batch size.
+
+    ``by`` are the columns that batches were assigned by, as their ids begin anew in each group.
+    """
     if batch_size is None:
         return df.agg(F.count(F.lit(1)).alias("num_examples"))
-    return df.agg((F.count_distinct("batch_id") * batch_size).alias("num_examples"))
+    return df.agg((F.count_distinct(*by, "batch_id") * batch_size).alias("num_examples"))
 
 
-def num_tokens(df: DataFrame, max_steps: int | None = None) -> DataFrame:
-    """Tokens of the table; with ``max_steps``, the first batch's tokens times steps."""
-    if max_steps is None:
-        return df.agg(F.coalesce(F.sum(F.size("input_ids")), F.lit(0)).alias("num_tokens"))
-    first = df.where(F.col("batch_id") == 0)
-    return first.agg((F.coalesce(F.sum(F.size("input_ids")), F.lit(0)) * max_steps).alias("num_tokens"))
+def num_tokens(
+    df: DataFrame, max_steps: int | None = None, padded: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
+    """Tokens of the table; with ``max_steps``, the first batch's tokens times steps.
+
+    ``padded`` counts what a batch holds once its rows are as long as its longest. ``by`` are the
+    columns that batches were assigned by; with ``max_steps`` there is then a row for each group.
+    """
+    n = F.size("input_ids")
+    if max_steps is not None:
+        first = df.where(F.col("batch_id") == 0).groupBy(*by)
+        held = F.count(F.lit(1)) * F.max(n) if padded else F.sum(n)
+        return first.agg((F.coalesce(held, F.lit(0)) * max_steps).alias("num_tokens"))
+    if padded:
+        df = df.groupBy(*by, "batch_id").agg((F.count(F.lit(1)) * F.max(n)).alias("__held"))
+        n = F.col("__held")
+    return df.agg(F.coalesce(F.sum(n), F.lit(0)).alias("num_tokens"))
 
 
 def step_plan(

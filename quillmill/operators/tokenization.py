@@ -201,9 +201,12 @@ def token_lengths(df: DataFrame, ids_col: str = "input_ids", out: str = "n_token
     return df.withColumn(out, F.size(ids_col))
 
 
-def pad_to_longest(df: DataFrame, batch_col: str = "batch_id", pad_id: int = PAD_ID, mask_pad: int = 0) -> DataFrame:
-    """Pad ids and mask to the longest row of their batch."""
-    longest = F.max(F.size("input_ids")).over(Window.partitionBy(batch_col))
+def pad_to_longest(
+    df: DataFrame, batch_col: str | Sequence[str] = "batch_id", pad_id: int = PAD_ID, mask_pad: int = 0
+) -> DataFrame:
+    """Pad ids and mask to the longest row of their batch (of several columns: batches of each group)."""
+    keys = [batch_col] if isinstance(batch_col, str) else list(batch_col)
+    longest = F.max(F.size("input_ids")).over(Window.partitionBy(*keys))
     return (
         df.withColumn("__longest", longest)
         .withColumn("__missing", F.col("__longest") - F.size("input_ids"))

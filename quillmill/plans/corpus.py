@@ -59,13 +59,21 @@ def blocks_of(
     return chunk_documents(tokenize(documents, vocab, keep=list(keep)), block, tail)
 
 
-def shard_report(blocks: DataFrame, block: int, by: Sequence[str] = SHARD) -> DataFrame:
-    """Papers, tokens, blocks, counted blocks and short tails of every shard."""
-    real = F.aggregate("attention_mask", F.lit(0), lambda acc, x: acc + x)
-    return blocks.groupBy(*by).agg(
-        F.count_if(F.col("chunk_idx") == 0).alias("papers"),
-        F.sum(real).alias("total_tokens"),
-        F.count(F.lit(1)).alias("blocks"),
-        F.sum(F.greatest("num_chunks", F.lit(0))).alias("counted_blocks"),
-        F.count_if(F.size("input_ids") < block).alias("short_tails"),
+def shard_report(tokenized: DataFrame, block: int, by: Sequence[str] = SHARD, tail: str = "keep") -> DataFrame:
+    """Papers, tokens, blocks, counted blocks and short tails of every shard.
+
+    All follow from the lengths of the tokenized documents, so no block is made, and a document
+    without tokens, or whose tail is dropped, is a paper like any other.
+    """
+    n = F.size("input_ids")
+    rest = n % block
+    padded, short = (2 * rest >= block) & (rest > 0), (2 * rest < block) & (rest > 0)
+    counted = F.floor(n / block) + padded.cast("int")
+    kept = short if tail == "keep" else F.lit(False)
+    return tokenized.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("papers"),
+        F.sum(n).alias("total_tokens"),
+        F.sum(counted + kept.cast("int")).alias("blocks"),
+        F.sum(counted).alias("counted_blocks"),
+        F.count_if(kept).alias("short_tails"),
     )

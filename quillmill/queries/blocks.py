@@ -8,7 +8,7 @@ from quillmill.operators import packing as p
 from quillmill.operators import stats
 from quillmill.operators.combine import union_sources
 from quillmill.operators.tokenization import tokenize
-from quillmill.plans.corpus import blocks_of, shard_report, with_bibliography
+from quillmill.plans.corpus import shard_report, with_bibliography
 from quillmill.queries.base import (
     BLOCK,
     SPLIT,
@@ -161,14 +161,13 @@ def total_chunks(spark, sf):
 @query(
     "shard_report",
     f"""WITH {SPLIT}, {chunks_sql()} SELECT split, year, month,
-        count_if(chunk_idx = 0)::BIGINT AS papers, sum(real)::BIGINT AS total_tokens, count(*) AS blocks,
-        sum(greatest(num_chunks, 0))::BIGINT AS counted_blocks,
+        count(DISTINCT doc_id) AS papers, coalesce(sum(real), 0)::BIGINT AS total_tokens, count(chunk_idx) AS blocks,
+        coalesce(sum(greatest(num_chunks, 0)), 0)::BIGINT AS counted_blocks,
         count_if(real + missing < {BLOCK})::BIGINT AS short_tails
-        FROM chunks JOIN tagged USING (doc_id) GROUP BY split, year, month""",
+        FROM tagged LEFT JOIN chunks USING (doc_id) GROUP BY split, year, month""",
 )
 def shard_report_query(spark, sf):
-    docs = split_documents(spark, sf)
-    return shard_report(blocks_of(docs, vocabulary(spark, sf), BLOCK), BLOCK)
+    return shard_report(tokenized(spark, sf, split_documents(spark, sf)), BLOCK)
 
 
 @query(

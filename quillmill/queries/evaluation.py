@@ -21,7 +21,6 @@ from quillmill.queries.base import (
 )
 from quillmill.session import materialize
 
-V = 30_007
 K = 0.1
 
 
@@ -52,7 +51,7 @@ model AS (SELECT prev, next, count(*) AS c FROM pairs WHERE split = 'train' GROU
 totals AS (SELECT prev, sum(c)::BIGINT AS total FROM model GROUP BY prev),
 best AS (SELECT prev, next AS predicted, c AS support FROM model
          QUALIFY row_number() OVER (PARTITION BY prev ORDER BY c DESC, next) = 1),
-scored AS (SELECT p.*, -ln((coalesce(c, 0) + {K}::DOUBLE) / (coalesce(total, 0) + {K * V}::DOUBLE)) AS loss
+scored AS (SELECT p.*, -ln((coalesce(c, 0) + {K}::DOUBLE) / (coalesce(total, 0) + {K}::DOUBLE * (SELECT count(*) FROM vocab))) AS loss
            FROM pairs p LEFT JOIN model USING (prev, next) LEFT JOIN totals USING (prev))"""
 )
 
@@ -87,7 +86,7 @@ def next_token_hits(spark, sf):
 def shard_perplexity(spark, sf):
     rows = _split_ids(spark, sf)
     by = ["year", "month"]
-    out = bigram.score_shards(bigram.count_pairs(_val(rows), by), _model(rows), K, V, by)
+    out = bigram.score_shards(bigram.count_pairs(_val(rows), by), _model(rows), K, vocabulary(spark, sf).count(), by)
     return out.select(
         *by, "n_pairs", F.round("mean_loss", 6).alias("mean_loss"), F.round("perplexity", 4).alias("perplexity")
     )
@@ -101,7 +100,7 @@ def shard_perplexity(spark, sf):
 def document_losses(spark, sf):
     rows = _split_ids(spark, sf)
     evaluated = rows.where(F.col("split") != "train")
-    out = bigram.score_rows(evaluated, _model(rows), K, V, ["doc_id"])
+    out = bigram.score_rows(evaluated, _model(rows), K, vocabulary(spark, sf).count(), ["doc_id"])
     return out.select("doc_id", "n_pairs", F.round("loss", 6).alias("loss"))
 
 
@@ -114,13 +113,13 @@ def document_losses(spark, sf):
         seen AS (SELECT *, sum(added) OVER (PARTITION BY prev, next ORDER BY s) AS seen FROM delta),
         tok AS (SELECT s, prev, sum(sum(added)) OVER (PARTITION BY prev ORDER BY s) AS total
                 FROM delta GROUP BY s, prev),
-        l AS (SELECT s, c, -ln((seen + {K}::DOUBLE) / (total + {K * V}::DOUBLE)) AS loss
+        l AS (SELECT s, c, -ln((seen + {K}::DOUBLE) / (total + {K}::DOUBLE * (SELECT count(*) FROM vocab))) AS loss
               FROM seen JOIN tok USING (s, prev) WHERE c > 0)
         SELECT (s // 100)::INT AS year, (s % 100)::INT AS month, sum(c)::BIGINT AS n_pairs,
                round(sum(c * loss) / sum(c), 6) AS mean_loss FROM l GROUP BY s""",
 )
 def curriculum(spark, sf):
-    out = bigram.curriculum(_split_ids(spark, sf), K, V)
+    out = bigram.curriculum(_split_ids(spark, sf), K, vocabulary(spark, sf).count())
     return out.select("year", "month", "n_pairs", F.round("mean_loss", 6).alias("mean_loss"))
 
 
@@ -330,7 +329,7 @@ model AS (SELECT prev, next, count(*) AS c FROM bp WHERE split = 'train' GROUP B
 totals AS (SELECT prev, sum(c)::BIGINT AS total FROM model GROUP BY prev),
 ev AS (SELECT group_id, block_id, (row_number() OVER (ORDER BY group_id, block_id) - 1) // 8 AS batch_id
        FROM bl WHERE split = 'validation'),
-losses AS (SELECT batch_id, avg(-ln((coalesce(c, 0) + {K}::DOUBLE) / (coalesce(total, 0) + {K * V}::DOUBLE))) AS loss
+losses AS (SELECT batch_id, avg(-ln((coalesce(c, 0) + {K}::DOUBLE) / (coalesce(total, 0) + {K}::DOUBLE * (SELECT count(*) FROM vocab)))) AS loss
        FROM bp JOIN ev USING (group_id, block_id) LEFT JOIN model USING (prev, next) LEFT JOIN totals USING (prev)
        WHERE split = 'validation' GROUP BY batch_id),
 sizes AS (SELECT batch_id, count(*) AS n FROM ev GROUP BY batch_id)"""
@@ -340,7 +339,7 @@ sizes AS (SELECT batch_id, count(*) AS n FROM ev GROUP BY batch_id)"""
 def _eval_losses(spark, sf):
     docs = texts(spark, sf).select("doc_id", "text")
     blocks = packed_blocks(docs, vocabulary(spark, sf), 128, ["doc_id"])
-    return batch_losses(blocks, 8, K, V)
+    return batch_losses(blocks, 8, K, vocabulary(spark, sf).count())
 
 
 @query(

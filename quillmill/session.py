@@ -36,7 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
     fallback = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set(CHECKPOINT_CONF, fallback)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions.columns import decode_text
 from quillmill.operators import ordering as o
-from quillmill.operators.combine import join_manifest, missing_files
+from quillmill.operators.combine import missing_files
 from quillmill.session import materialize
 
 MAX_LISTED = 10_000
@@ -47,13 +49,13 @@ def read_documents(
     glob: str = "*",
     max_listed: int = MAX_LISTED,
 ) -> DataFrame:
-    """The manifest rows with the ``text`` of their file; a missing file raises.
+    """The manifest rows with the ``text`` of their file.
 
-    Only the folders the manifest names are listed, up to ``max_listed`` of them;
-    beyond that, the tree under ``root``. Files and manifest are joined on the
-    path: AQE broadcasts the manifest when it is small, otherwise the content is
-    shuffled once. Spark skips files of zero bytes, so a listed file that exists
-    and gives no row is an empty text.
+    Only the folders the manifest names are listed, up to ``max_listed`` of them; beyond that, the
+    tree under ``root``. A file that isn't listed (it doesn't exist, ``glob`` or its hidden name keeps
+    it out, or it lies outside ``root``) raises FileNotFoundError. Spark gives no row for a file of
+    zero bytes, so a listed file without content is an empty text. Files and manifest are joined on
+    the path: AQE broadcasts the manifest when it is small, otherwise the content is shuffled once.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     keyed = manifest.withColumn("path", plain_path(F.col(path_col)))
@@ -66,18 +68,15 @@ def read_documents(
         raise ValueError(f"a manifest of more than {max_listed} folders needs their root folder")
     else:
         files = reader.option("recursiveFileLookup", True).load(root)
-    path = plain_path(F.col("path")).alias("path")
-    unread = _some(missing_files(keyed, files.select(path)).select(path_col).distinct(), max_listed)
-    if unread is None:
-        raise FileNotFoundError(f"more than {max_listed} listed files are missing or empty")
-    if unread:
-        spark.read.format("binaryFile").load(unread)  # raises when one does not exist
-    texts = files.select(path, decode_text(F.col("content")).alias("text"))
-    read = join_manifest(keyed, texts).select(*manifest.columns, "text")
-    if not unread:
-        return read
-    empty = manifest.where(F.col(path_col).isin(unread)).withColumn("text", F.lit(""))
-    return read.unionByName(empty.select(*manifest.columns, "text"))
+    # the reader's own listing, which also has the files of zero bytes
+    listed = [(unquote(f),) for f in files.inputFiles()]
+    exist = spark.createDataFrame(listed, "path string").select(plain_path(F.col("path")).alias("path"))
+    unseen = missing_files(keyed, exist).select(path_col).take(3)
+    if unseen:
+        raise FileNotFoundError(f"listed in the manifest but not found: {[r[0] for r in unseen]}")
+    texts = files.select(plain_path(F.col("path")).alias("path"), decode_text(F.col("content")).alias("text"))
+    read = keyed.join(texts, "path", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    return read.select(*manifest.columns, "text")
 
 
 def _some(df: DataFrame, limit: int) -> list[str] | None:

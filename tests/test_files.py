@@ -59,6 +59,29 @@ def test_missing_document_raises(spark, tex, max_listed):
         files.read_documents(spark, manifest.union(manifest.select(F.lit("x"))), max_listed=1)
 
 
+def test_unread_files_are_never_empty_texts(spark, tmp_path):
+    """Names that a listing hides, other suffixes and files outside the root raise."""
+    for name in ("in/_b.tex", "in/.c.tex", "in/d.ltx", "in/e.tex", "out/f.tex"):
+        write(tmp_path / name, b"text")
+    for name, options in {
+        "in/_b.tex": {},
+        "in/.c.tex": {},
+        "in/d.ltx": {"glob": "*.tex"},
+        "out/f.tex": {"root": str(tmp_path / "in"), "max_listed": 0},
+    }.items():
+        manifest = spark.createDataFrame([(f"{tmp_path}/{name}",), (f"{tmp_path}/in/e.tex",)], "tex string")
+        with pytest.raises(FileNotFoundError, match=name.split("/")[-1]):
+            files.read_documents(spark, manifest, **options).collect()
+
+
+def test_many_empty_files(spark, tmp_path):
+    for i in range(30):
+        write(tmp_path / "many" / f"{i} %.tex", b"" if i else b"full")
+    manifest = spark.createDataFrame([(f"{tmp_path}/many/{i} %.tex",) for i in range(30)], "tex string")
+    got = files.read_documents(spark, manifest, max_listed=2).collect()
+    assert sorted(r.text for r in got) == [""] * 29 + ["full"]
+
+
 def test_bibliography(spark, tmp_path):
     body = 'key,bbl\n1,"two\nlines, ""quoted"""\n2,plain\n'
     write(tmp_path / "TRAIN_BBL" / "bbl_split_train_0001.csv", body)

@@ -188,3 +188,17 @@ def test_gathered_loss_weights(spark):
     df = spark.createDataFrame([(1.0, 8), (3.0, 2)], "loss double, n long")
     means = {w: metrics.mean_loss(df, weighting=w, batch_size=8).first().mean_loss for w in ("batch", "sample", "gathered")}
     assert means == {"batch": 2.0, "sample": 1.4, "gathered": 1.4}
+
+
+def test_records_without_a_metric_never_win(spark):
+    nan = float("nan")
+    log = spark.createDataFrame(
+        [("a", 1, 3.0), ("a", 2, None), ("a", 3, 2.0), ("b", 1, None), ("c", 1, None), ("c", 2, nan), ("c", 3, 1.0)],
+        "run_id string, step long, metric double",
+    )
+    best = {r.run_id: (r.best_step, r.best_metric) for r in runlog.best_checkpoint(log).collect()}
+    assert best["a"] == (3, 2.0) and best["b"] == (None, None)
+    assert best["c"][0] == 2 and best["c"][1] != best["c"][1]
+    ends = spark.createDataFrame([("a", 1, 5.0), ("b", 1, nan), ("c", 1, None), ("d", 1, 7.0)], "run_id string, step long, metric double")
+    assert [r.run_id for r in runlog.leaderboard(ends, 3, "maximize").collect()] == ["d", "a", "b"]
+    assert [r.run_id for r in runlog.leaderboard(ends, 3, "minimize").collect()] == ["a", "d", "b"]

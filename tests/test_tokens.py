@@ -54,3 +54,31 @@ def test_padding(spark, docs):
     out = t.tokenize_padded(docs.withColumn("batch_id", F.lit(0)), vocab, max_length=3).collect()
     assert {len(r.input_ids) for r in out} == {3}
     assert {r.doc_id: sum(r.attention_mask) for r in out} == {0: 3, 1: 0, 2: 2, 3: 0, 4: 0, 5: 3}
+
+
+def test_batches_of_each_split_stay_apart(spark):
+    from pyspark.sql import functions as F
+
+    from quillmill.operators import batching, stats
+
+    rows = [("train", 1, [1, 2, 3]), ("train", 2, [4]), ("train", 3, [5]), ("val", 4, [6, 7])]
+    df = spark.createDataFrame(rows, "split string, id long, input_ids array<int>")
+    df = df.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+    batched = batching.assign_batches(df, 2, ["id"], by=["split"])
+    got = {(r.split, r.batch_id): r.input_ids for r in batching.collate(batched, 0, by=["split"]).collect()}
+    assert got == {("train", 0): [[1, 2, 3], [4, 0, 0]], ("train", 1): [[5]], ("val", 0): [[6, 7]]}
+    assert stats.num_examples(batched, 2, by=["split"]).first()[0] == 6
+    assert stats.num_tokens(batched, padded=True, by=["split"]).first()[0] == 9
+    steps = {r.split: r.num_tokens for r in stats.num_tokens(batched, 10, padded=True, by=["split"]).collect()}
+    assert steps == {"train": 60, "val": 20}
+
+
+def test_report_counts_papers_without_tokens(spark):
+    from quillmill.plans.corpus import shard_report
+
+    rows = [("a", list(range(9))), ("a", []), ("a", [1]), ("b", [])]
+    df = spark.createDataFrame(rows, "split string, input_ids array<int>")
+    got = {r[0]: tuple(r)[1:] for r in shard_report(df, 4, ["split"]).collect()}
+    assert got == {"a": (3, 10, 4, 2, 2), "b": (1, 0, 0, 0, 0)}
+    dropped = {r[0]: tuple(r)[1:] for r in shard_report(df, 4, ["split"], "drop").collect()}
+    assert dropped["a"] == (3, 10, 2, 2, 0)
