@@ -10,9 +10,12 @@ apart; so the outermost level splits the space by what partners must share:
    aren't empty one is equal in both. A region is a part and its content.
 1. A region's first set is its pivot; distances to it are computed exactly. Partners of the pivot are
    joined to it, and regions whose sets are all connected by now are done.
-2. Other regions go on with pivots: small ones compare sets of different components, larger ones take
-   twice as many pivots as before, each set goes to its nearest pivot's region and, within twice the
-   threshold distance, to others' (where that makes regions smaller), and so on until all are done.
+2. Of the others, small regions compare sets of different components. The sets of larger ones are dealt
+   anew, by the shingles that are rarest among them: a partner of a set has one of the first d + 1 in
+   common with it, if d is how many it may lack. A set with more than d of its own has no partner.
+3. What is still large goes on with pivots, twice as many in each round: each set goes to its nearest
+   pivot's region and, within twice the threshold distance, to others' (where that makes regions
+   smaller), and so on until all are done.
 
 Every pair that is linked ends up connected; distances are always those of the whole sets.
 """
@@ -160,11 +163,8 @@ def distances(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int) -> Dat
     others = dealt.select("p", "chunk", F.col("x").alias("node"), F.lit(1).alias("role"))
     pivots = dealt.select("p", "chunk", F.col("p").alias("node"), F.lit(0).alias("role")).distinct()
     wanted = materialize(others.unionByName(pivots), "wanted")
-    nodes = wanted.select("node").distinct()
-    needed = materialize(nodes.join(reps, "node").select("node", "id"), "needed")
-    picked = docs.join(_small(needed), "id").select("node", "text")  # a repeated id may bring a text of another node
-    texts = _of_node(picked, k)
-    rows = texts.join(_small(wanted), "node").select("p", "chunk", "role", "node", "text")
+    rows = _texts(docs, reps, wanted.select("node").distinct(), k)
+    rows = rows.join(_small(wanted), "node").select("p", "chunk", "role", "node", "text")
     rows = rows.repartition("p", "chunk").sortWithinPartitions("p", "chunk", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +188,10 @@ def distances(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int) -> Dat
     return rows.mapInArrow(run, "p bigint, x bigint, both bigint, either bigint").distinct()
 
 
-def _of_node(picked: DataFrame, k: int) -> DataFrame:
-    """Only texts whose set is the node's."""
+def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, text) of nodes; a repeated id may bring a text of another node, which is left out."""
+    needed = materialize(nodes.join(reps, "node").select("node", "id"), "needed")
+    picked = docs.join(_small(needed), "id").select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,6 +201,32 @@ def _of_node(picked: DataFrame, k: int) -> DataFrame:
     return picked.mapInArrow(run, "node bigint, text string")
 
 
+def _by_rarest(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(region, x): regions of ``nodes`` by the shingles that are rarest among them.
+
+    Of partners, one lacks at most d = n - n * num / den of the other's n shingles. In the order of
+    (frequency among the nodes, shingle), the first they share is therefore one of the first d + 1 of
+    either. Shingles of one set only come first in that order, and make no region.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column("node"), batch.column("text")):
+                s = shingles(text.as_py(), k).view(np.int64)
+                allowed = len(s) * (den - num) // den
+                columns = [np.full(len(s), node.as_py()), np.full(len(s), len(s)), np.full(len(s), allowed), s]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["x", "n", "allowed", "shingle"])
+
+    rows = _texts(docs, reps, nodes, k).mapInArrow(run, "x bigint, n bigint, allowed bigint, shingle bigint")
+    rows = materialize(rows, "elements")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    several = rows.join(shared, "shingle")
+    listed = several.groupBy("x", "n", "allowed").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("by_df"))
+    own = F.col("n") - F.size("by_df")
+    first = F.slice("by_df", F.lit(1), F.greatest(F.lit(0), F.col("allowed") + 1 - own).cast("int"))
+    return listed.select(F.explode(first).alias("s"), "x").select(F.col("s.shingle").alias("region"), "x")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over (p, x), for nodes with an edge. Labels go along
     edges, then labels of labels are taken, so chains shorten by half and more each time."""
@@ -240,7 +268,7 @@ def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -
     known = materialize(distances(docs, reps, materialize(pairs, "pairs"), k), "distances")
     labels = components(known.where(_is_link(num, den)).select("p", "x"))
     active = found.where(F.col("node") != F.col("p")).select("region", F.col("node").alias("x"))
-    pivots = PIVOTS
+    pivots, redealt = PIVOTS, False
     while True:
         active = materialize(_with_comp(active, labels), "active")
         stats = active.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -255,15 +283,22 @@ def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -
             (F.col("one.comp") != F.col("other.comp")) & (F.col("one.x") < F.col("other.x"))
         )
         wanted = close.select(F.col("one.x").alias("p"), F.col("other.x").alias("x"))
-        slot = F.pmod(F.xxhash64("x", F.lit(pivots)), F.lit(pivots)).alias("slot")
-        chosen = materialize(large.groupBy("region", slot).agg(F.min("x").alias("p")).select("region", "p"), "pivots")
-        against = materialize(large.join(chosen, "region").where(F.col("x") != F.col("p")).select("region", "p", "x"), "against")
-        wanted = wanted.union(against.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x"))).distinct()
+        if not redealt:
+            active = _by_rarest(docs, reps, materialize(large.select(F.col("x").alias("node")).distinct(), "crowd"), k, num, den)
+            active = materialize(active, "active")
+        else:
+            slot = F.pmod(F.xxhash64("x", F.lit(pivots)), F.lit(pivots)).alias("slot")
+            chosen = materialize(large.groupBy("region", slot).agg(F.min("x").alias("p")).select("region", "p"), "pivots")
+            against = materialize(large.join(chosen, "region").where(F.col("x") != F.col("p")).select("region", "p", "x"), "against")
+            wanted = wanted.union(against.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")))
+        wanted = wanted.distinct()
         fresh = materialize(wanted.join(known, ["p", "x"], "left_anti"), "pairs")
         known = materialize(known.unionByName(distances(docs, reps, fresh, k)), "distances")
         labels = components(known.where(_is_link(num, den)).select("p", "x"))
-        active = _next_regions(against, chosen, known, num, den)
-        pivots *= 2
+        if redealt:
+            active = _next_regions(against, chosen, known, num, den)
+            pivots *= 2
+        redealt = True
     return labels
 
 
