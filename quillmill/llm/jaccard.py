@@ -10,12 +10,12 @@ apart; so the outermost level splits the space by what partners must share:
    aren't empty one is equal in both. A region is a part and its content.
 1. A region's first set is its pivot; distances to it are computed exactly. Partners of the pivot are
    joined to it, and regions whose sets are all connected by now are done.
-2. Of the others, small regions compare sets of different components. The sets of larger ones are dealt
-   anew, by the shingles that are rarest among them: a partner of a set has one of the first d + 1 in
-   common with it, if d is how many it may lack. A set with more than d of its own has no partner.
-3. What is still large goes on with pivots, twice as many in each round: each set goes to its nearest
-   pivot's region and, within twice the threshold distance, to others' (where that makes regions
-   smaller), and so on until all are done.
+2. Of the others, small regions compare sets of different components. The sets of larger ones form the
+   crowd. Each gets a sketch, one byte for each of SKETCH parts of its shingles; how many bytes differ is
+   a metric too, and never more than the symmetric difference. Pivots drawn from the crowd make Voronoi
+   regions in that metric: a set goes to its nearest pivot's region and to all that are at most twice the
+   allowed difference further, so that partners meet. Regions are compared in blocks, sketch by sketch,
+   and what the sketches can't tell apart is measured exactly.
 
 Every pair that is linked ends up connected; distances are always those of the whole sets.
 """
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import materialize, read
@@ -35,8 +35,10 @@ from quillmill.llm.registry import query
 
 #: Size classes grow by this factor.
 CLASS_RATIO = 1.25
-#: Regions up to this many sets compare all that aren't connected yet; pivots of larger ones at first.
-SMALL, PIVOTS = 48, 8
+#: Regions up to this many sets compare all that aren't connected yet.
+SMALL = 48
+#: Bytes of a sketch; sets of a crowd for each pivot, pivots at most, and sets per block of a region.
+SKETCH, PER_PIVOT, MAX_PIVOTS, BLOCK = 128, 256, 1024, 512
 #: Pairs of a pivot that share one copy of its text.
 CHUNK = 64
 #: Ids of candidates are sent to all workers up to so many (tens of MB), joined by shuffle beyond.
@@ -201,30 +203,84 @@ def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFr
     return picked.mapInArrow(run, "node bigint, text string")
 
 
-def _by_rarest(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(region, x): regions of ``nodes`` by the shingles that are rarest among them.
+def sketch_of(elements: np.ndarray) -> bytes:
+    """One byte for the content of each of SKETCH parts; an empty part is 0."""
+    out = np.zeros(SKETCH, np.uint8)
+    if len(elements):
+        with np.errstate(over="ignore"):
+            number, content = _parts(_mix(elements + _P[2]), SKETCH)
+        out[number.astype(np.int64)] = (content >> np.uint64(56)).astype(np.uint8)
+    return out.tobytes()
 
-    Of partners, one lacks at most d = n - n * num / den of the other's n shingles. In the order of
-    (frequency among the nodes, shingle), the first they share is therefore one of the first d + 1 of
-    either. Shingles of one set only come first in that order, and make no region.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _crowd_pairs(docs: DataFrame, reps: DataFrame, crowd: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(p, x) of a crowd (x, comp): all pairs of different components that may be partners by their sketches."""
+    spark = docs.sparkSession
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, text in zip(batch.column("node"), batch.column("text")):
-                s = shingles(text.as_py(), k).view(np.int64)
-                allowed = len(s) * (den - num) // den
-                columns = [np.full(len(s), node.as_py()), np.full(len(s), len(s)), np.full(len(s), allowed), s]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["x", "n", "allowed", "shingle"])
-
-    rows = _texts(docs, reps, nodes, k).mapInArrow(run, "x bigint, n bigint, allowed bigint, shingle bigint")
-    rows = materialize(rows, "elements")
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    several = rows.join(shared, "shingle")
-    listed = several.groupBy("x", "n", "allowed").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("by_df"))
-    own = F.col("n") - F.size("by_df")
-    first = F.slice("by_df", F.lit(1), F.greatest(F.lit(0), F.col("allowed") + 1 - own).cast("int"))
-    return listed.select(F.explode(first).alias("s"), "x").select(F.col("s.shingle").alias("region"), "x")
+            sets = [shingles(t.as_py(), k) for t in batch.column("text")]
+            made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch_of(s) for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *made], ["x", "n", "sketch"])
+
+    texts = _texts(docs, reps, crowd.select(F.col("x").alias("node")), k)
+    sketched = texts.mapInArrow(sketch, "x bigint, n bigint, sketch binary").dropDuplicates(["x"]).join(_small(crowd), "x")
+    sketched = materialize(sketched, "sketches")
+    wanted = min(max(1, sketched.count() // PER_PIVOT), MAX_PIVOTS)
+    pivots = sketched.orderBy(F.xxhash64("x"), "x").limit(wanted).select("sketch").collect()  # MAX_PIVOTS * SKETCH bytes
+    shared = spark.sparkContext.broadcast(np.frombuffer(b"".join(r.sketch for r in pivots), np.uint8).reshape(-1, SKETCH))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, regions = [], []
+            for i, (n, own) in enumerate(zip(batch.column("n").to_pylist(), batch.column("sketch").to_pylist())):
+                far = (shared.value != np.frombuffer(own, np.uint8)).sum(axis=1)
+                # a partner has at most n * den / num elements
+                reach = n * (den - num) // num
+                near = np.flatnonzero(far <= far.min() + 2 * reach)
+                rows += [i] * len(near)
+                regions += near.tolist()
+            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(rows, pa.int64())).columns, pa.array(regions, pa.int32())], [*batch.schema.names, "region"])
+
+    dealt = materialize(sketched.select("x", "n", "sketch", "comp").mapInArrow(deal, "x bigint, n bigint, sketch binary, comp bigint, region int"), "dealt")
+    blocks = dealt.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int")
+    celled = dealt.join(F.broadcast(blocks), "region").withColumn("own", own)  # MAX_PIVOTS rows
+    celled = celled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    celled = celled.select("region", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "x", "n", "comp", "sketch")
+    celled = celled.repartition("region", "a", "b").sortWithinPartitions("region", "a", "b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if row[:3] != cell:
+                    yield from _close(cell, held, num, den)
+                    cell, held = row[:3], []
+                held.append(row[3:])
+        yield from _close(cell, held, num, den)
+
+    return celled.mapInArrow(compare, "p bigint, x bigint").distinct()
+
+
+def _close(cell, held: list[tuple], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of one cell (two blocks of a region, or one with itself) that may be partners."""
+    if len(held) < 2:
+        return
+    own, x, n, comp = (np.array([h[i] for h in held], np.int64) for i in range(4))
+    sketches = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(-1, SKETCH)
+    for i in range(len(held) - 1):
+        rest = slice(i + 1, None)
+        may = (comp[rest] != comp[i]) & (np.minimum(n[rest], n[i]) * den >= np.maximum(n[rest], n[i]) * num)
+        if cell[1] != cell[2]:
+            may &= own[rest] != own[i]
+        at = np.flatnonzero(may) + i + 1
+        if len(at):
+            differ = (sketches[at] != sketches[i]).sum(axis=1)
+            at = at[differ * (den + num) <= (n[at] + n[i]) * (den - num)]
+        if len(at):
+            pairs = [pa.array(np.minimum(x[at], x[i])), pa.array(np.maximum(x[at], x[i]))]
+            yield pa.RecordBatch.from_arrays(pairs, ["p", "x"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -268,63 +324,24 @@ def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -
     known = materialize(distances(docs, reps, materialize(pairs, "pairs"), k), "distances")
     labels = components(known.where(_is_link(num, den)).select("p", "x"))
     active = found.where(F.col("node") != F.col("p")).select("region", F.col("node").alias("x"))
-    pivots, redealt = PIVOTS, False
-    while True:
-        active = materialize(_with_comp(active, labels), "active")
-        stats = active.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        # a region that is one component by now needs no more distances
-        stats = materialize(stats.where(F.col("low") != F.col("high")).select("region", "n"), "open")
-        active = materialize(active.join(stats, "region"), "active")
-        if active.isEmpty():
-            break
-        small, large = active.where(F.col("n") <= SMALL), active.where(F.col("n") > SMALL)
-        one, other = small.alias("one"), small.alias("other")
-        close = one.join(other, F.col("one.region") == F.col("other.region")).where(
-            (F.col("one.comp") != F.col("other.comp")) & (F.col("one.x") < F.col("other.x"))
-        )
-        wanted = close.select(F.col("one.x").alias("p"), F.col("other.x").alias("x"))
-        if not redealt:
-            active = _by_rarest(docs, reps, materialize(large.select(F.col("x").alias("node")).distinct(), "crowd"), k, num, den)
-            active = materialize(active, "active")
-        else:
-            slot = F.pmod(F.xxhash64("x", F.lit(pivots)), F.lit(pivots)).alias("slot")
-            chosen = materialize(large.groupBy("region", slot).agg(F.min("x").alias("p")).select("region", "p"), "pivots")
-            against = materialize(large.join(chosen, "region").where(F.col("x") != F.col("p")).select("region", "p", "x"), "against")
-            wanted = wanted.union(against.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")))
-        wanted = wanted.distinct()
-        fresh = materialize(wanted.join(known, ["p", "x"], "left_anti"), "pairs")
-        known = materialize(known.unionByName(distances(docs, reps, fresh, k)), "distances")
-        labels = components(known.where(_is_link(num, den)).select("p", "x"))
-        if redealt:
-            active = _next_regions(against, chosen, known, num, den)
-            pivots *= 2
-        redealt = True
-    return labels
-
-
-def _next_regions(against: DataFrame, chosen: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
-    """(region, x) of what is left once every set of a large region knows its distance from the pivots.
-
-    A set goes to the region of its nearest pivot and to those at most twice the threshold distance
-    further: a partner of it has its nearest pivot among them. Where the copies would add up to more
-    than half as many sets again, the region stays one. Pivots have met everybody and leave.
-    """
-    apart = (F.col("either") - F.col("both")) / F.col("either")
-    pair = [F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x"), F.col("region"), F.col("p").alias("pivot"), F.col("x").alias("member")]
-    measured = against.select(*pair).join(known, ["p", "x"]).select("region", "pivot", "member", apart.alias("d"))
-    measured = measured.join(chosen.select("region", F.col("p").alias("member")), ["region", "member"], "left_anti")
-    measured = materialize(measured, "measured")
-    nearest = measured.groupBy("region", "member").agg(F.min("d").alias("near"))
-    reach = 2.0 * (den - num) / den + 1e-9
-    cells = measured.join(nearest, ["region", "member"]).where(F.col("d") <= F.col("near") + reach)
-    cells = materialize(cells.select("region", "pivot", "member"), "cells")
-    size = nearest.groupBy("region").agg(F.count("*").alias("sets"))
-    copies = cells.groupBy("region").agg(F.count("*").alias("copies")).join(size, "region")
-    split = copies.select("region", (F.col("copies") * 2 <= F.col("sets") * 3).alias("split"))
-    dealt = cells.join(split, "region")
-    apart_regions = dealt.where("split").select(F.xxhash64("region", "pivot").alias("region"), F.col("member").alias("x"))
-    whole = dealt.where("not split").select("region", F.col("member").alias("x")).distinct()
-    return apart_regions.union(whole)
+    active = materialize(_with_comp(active, labels), "active")
+    # a region that is one component by now needs no more distances
+    stats = active.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    stats = materialize(stats.where(F.col("low") != F.col("high")).select("region", "n"), "open")
+    active = materialize(active.join(stats, "region"), "active")
+    small, large = active.where(F.col("n") <= SMALL), active.where(F.col("n") > SMALL)
+    one, other = small.alias("one"), small.alias("other")
+    close = one.join(other, F.col("one.region") == F.col("other.region")).where(
+        (F.col("one.comp") != F.col("other.comp")) & (F.col("one.x") < F.col("other.x"))
+    )
+    wanted = close.select(F.col("one.x").alias("p"), F.col("other.x").alias("x"))
+    crowd = materialize(large.select("x", "comp").distinct(), "crowd")
+    if not crowd.isEmpty():
+        wanted = wanted.union(_crowd_pairs(docs, reps, crowd, k, num, den))
+    measured = known.select("p", "x").union(known.select(F.col("x").alias("p"), F.col("p").alias("x")))
+    fresh = materialize(wanted.distinct().join(measured, ["p", "x"], "left_anti"), "pairs")
+    known = known.unionByName(materialize(distances(docs, reps, fresh, k), "distances"))
+    return components(known.where(_is_link(num, den)).select("p", "x"))
 
 
 def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text", with_node: bool = False) -> DataFrame:
