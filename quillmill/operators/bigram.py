@@ -47,9 +47,9 @@ def predict_next(model: DataFrame) -> DataFrame:
     return best.select("prev", (-F.col("b.m")).cast("int").alias("predicted"), F.col("b.c").alias("support"))
 
 
-def predict_rows(df: DataFrame, model: DataFrame, key: Sequence[str], ids: str = "input_ids", unknown: int = -1):
+def predict_rows(df: DataFrame, model: DataFrame, ids: str = "input_ids", unknown: int = -1):
     """Add ``preds``: at every position, the predicted token after it."""
-    return map_items(df, ids, predict_next(model), "prev", "predicted", unknown, "preds", key)
+    return map_items(df, ids, predict_next(model), "prev", "predicted", unknown, "preds")
 
 
 def prediction_hits(evaluated: DataFrame, model: DataFrame, by: Sequence[str] = ()) -> DataFrame:

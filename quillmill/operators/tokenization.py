@@ -50,18 +50,17 @@ def tokenize(
     keep: Sequence[str] | None = None,
     unk_id: int = UNK_ID,
     max_shipped: int = MAX_SHIPPED,
-    key: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
     """Replace the text column by ``input_ids`` and ``attention_mask``.
 
     ``keep`` names the columns to carry on (all but the text by default).
-    ``key`` identifies a row; it is used only beyond ``max_shipped`` entries.
+    A vocabulary of more than ``max_shipped`` entries is joined instead of shipped; the ids are the same.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c != text_col]
     small = _shipped(vocab, ("token", "id"), max_shipped)
     if small is None:
         tokens = df.select(*keep, tokens_of(F.col(text_col)).alias("__items"))
-        ids = map_items_by_join(tokens, vocab.select("token", "id"), key, "token", "id", F.lit(unk_id), "input_ids")
+        ids = map_items_by_join(tokens, vocab.select("token", "id"), "token", "id", F.lit(unk_id), "input_ids")
         return ids.select(*keep, "input_ids", _ones("input_ids"))
     shipped = df.sparkSession.sparkContext.broadcast(small)
 
@@ -124,11 +123,10 @@ def decode(
     ids_col: str = "input_ids",
     out: str = "text",
     max_shipped: int = MAX_SHIPPED,
-    key: Sequence[str] = ("doc_id",),
     unknown: str = "<unk>",
 ) -> DataFrame:
     """Add the text of an id array: the tokens joined by spaces."""
-    decoded = map_items(df, ids_col, vocab, "id", "token", unknown, "__tokens", key, max_shipped)
+    decoded = map_items(df, ids_col, vocab, "id", "token", unknown, "__tokens", max_shipped)
     return decoded.withColumn(out, F.array_join("__tokens", " ")).drop("__tokens")
 
 
@@ -140,7 +138,6 @@ def map_items(
     value: str,
     default,
     out: str,
-    key: Sequence[str] = ("doc_id",),
     max_shipped: int = MAX_SHIPPED,
 ) -> DataFrame:
     """Add ``out``: every element of an array column looked up in a keyed table.
@@ -150,7 +147,7 @@ def map_items(
     small = _shipped(table, (match, value), max_shipped)
     if small is None:
         renamed = df.withColumn("__items", F.col(items))
-        return map_items_by_join(renamed, table.select(match, value), key, match, value, F.lit(default), out)
+        return map_items_by_join(renamed, table.select(match, value), match, value, F.lit(default), out)
     shipped = df.sparkSession.sparkContext.broadcast(small)
 
     @F.arrow_udf(f"array<{dict(table.dtypes)[value]}>")
@@ -165,23 +162,21 @@ def map_items(
     return df.withColumn(out, _once(look_up)(F.col(items)))
 
 
-def map_items_by_join(
-    df: DataFrame,
-    table: DataFrame,
-    key: Sequence[str],
-    match: str,
-    value: str,
-    default,
-    out: str,
-) -> DataFrame:
+def map_items_by_join(df: DataFrame, table: DataFrame, match: str, value: str, default, out: str) -> DataFrame:
     """Replace every element of ``__items`` through a keyed table, with joins only.
 
-    An element occurs once per row in the join, with all its positions, and hot
-    elements are joined by broadcast (see ``lookup_join``).
+    The result depends on the items alone, so rows are known by a 128-bit hash of them: rows need no
+    key, and equal ones are looked up once. An element occurs once per array in the join, with all its
+    positions, and hot elements are joined by broadcast (see ``lookup_join``).
     """
-    key = list(key)
+    if df.isStreaming:
+        raise ValueError("a stream needs a table that can be shipped (max_shipped)")
+    key = ["__h1", "__h2"]
+    hashed = df.withColumn("__h1", F.xxhash64("__items")).withColumn("__h2", F.xxhash64(F.lit(1), "__items"))
     spots = (
-        df.select(*key, F.posexplode("__items").alias("__pos", match))
+        hashed.select(*key, "__items")
+        .dropDuplicates(key)
+        .select(*key, F.posexplode("__items").alias("__pos", match))
         .groupBy(*key, match)
         .agg(F.collect_list("__pos").alias("__at"))
     )
@@ -193,7 +188,7 @@ def map_items_by_join(
         .select(*key, F.transform("__pairs", lambda p: p["__v"]).alias(out))
     )
     empty = F.array().cast(f"array<{dict(table.dtypes)[value]}>")
-    joined = df.drop("__items").join(rebuilt, key, "left")
+    joined = hashed.drop("__items").join(rebuilt, key, "left").drop(*key)
     return joined.withColumn(out, F.coalesce(F.col(out), empty))
 
 

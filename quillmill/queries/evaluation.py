@@ -131,7 +131,7 @@ def curriculum(spark, sf):
 )
 def token_accuracy(spark, sf):
     rows = _split_ids(spark, sf)
-    predicted = bigram.predict_rows(rows, _model(rows), ["doc_id"])
+    predicted = bigram.predict_rows(rows, _model(rows))
     out = m.token_accuracy(predicted, ["split"], labels="input_ids")
     return out.withColumn("accuracy", F.round("accuracy", 6))
 
@@ -143,7 +143,7 @@ def token_accuracy(spark, sf):
 )
 def token_accuracy_masked(spark, sf):
     rows = _split_ids(spark, sf)
-    predicted = bigram.predict_rows(rows, _model(rows), ["doc_id"])
+    predicted = bigram.predict_rows(rows, _model(rows))
     masked = predicted.withColumn("labels", F.transform("input_ids", lambda x: F.when(x % 5 == 0, -100).otherwise(x)))
     return m.token_accuracy(masked, ["lang"], mask=True).select("lang", "n_hits", "n_predictions")
 
@@ -308,7 +308,7 @@ def metric_hook(spark, sf):
         return {"accuracy": right / sum(len(l) - 1 for l in labels)}
 
     rows = _split_ids(spark, sf)
-    predicted = bigram.predict_rows(_val(rows).where(F.size("input_ids") > 1), _model(rows), ["doc_id"])
+    predicted = bigram.predict_rows(_val(rows).where(F.size("input_ids") > 1), _model(rows))
     out = hooks.apply_metric(predicted, accuracy, ["accuracy"], ["doc_id"], labels="input_ids")
     return out.withColumn("accuracy", F.round("accuracy", 6))
 

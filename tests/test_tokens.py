@@ -82,3 +82,15 @@ def test_report_counts_papers_without_tokens(spark):
     assert got == {"a": (3, 10, 4, 2, 2), "b": (1, 0, 0, 0, 0)}
     dropped = {r[0]: tuple(r)[1:] for r in shard_report(df, 4, ["split"], "drop").collect()}
     assert dropped["a"] == (3, 10, 2, 2, 0)
+
+
+def test_one_result_on_both_sides_of_the_limit(spark):
+    """Repeated, null and missing keys, shipped or joined."""
+    rows = [(1, "a b"), (1, "c a"), (None, "a b"), (None, "b"), (2, None), (2, "zz c")]
+    keyed = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = v.with_reserved_specials(v.build_vocab(keyed.where("doc_id = 1"), size=5))
+    for df in (keyed, keyed.select("text"), keyed.withColumnRenamed("doc_id", "other")):
+        shipped, joined = (
+            sorted(map(str, t.decode(t.tokenize(df, vocab, max_shipped=n), vocab, max_shipped=n).collect())) for n in (100, 0)
+        )
+        assert shipped == joined and len(joined) == len(rows)
