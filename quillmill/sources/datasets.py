@@ -56,14 +56,19 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+#: Only tables of so few pieces are dealt out, so at most this many times the size Spark reads in one.
+SPREAD_PIECES = 4
+
+
 def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Rows of a table read in few pieces, dealt out by ``key`` to all cores.
+    """Rows of a table read in very few pieces, dealt out by ``key`` to all cores.
 
-    A file with one row group is one task however large its texts are. A table of
-    many pieces is returned as it is: nothing large is ever exchanged here.
+    A file with one row group is one task however large its texts are. A table of more than
+    ``SPREAD_PIECES`` pieces is returned as it is, on any number of cores: nothing large is ever
+    exchanged here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores, *key)
+    return df if df.rdd.getNumPartitions() > min(SPREAD_PIECES, 2 * cores - 1) else df.repartition(cores, *key)
 
 
 def read_table_slice(
@@ -74,10 +79,15 @@ def read_table_slice(
 
 
 def stream_documents(
-    spark: SparkSession, path: str, schema: StructType | str, kind: str = "parquet", glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    kind: str = "parquet",
+    glob: str | None = None,
+    max_files: int = 1000,
 ) -> DataFrame:
-    """A folder read as a stream of rows."""
-    reader = spark.readStream.schema(schema)
+    """A folder read as a stream of rows, at most ``max_files`` new files in one trigger."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if kind == "text":

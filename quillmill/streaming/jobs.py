@@ -46,7 +46,11 @@ def stream_pack(
     """
 
     def pack(rows: DataFrame, batch: int) -> None:
-        pack_batches(rows, block, order, group_size).write.mode("overwrite").parquet(f"{sink}/micro_batch={batch}")
+        rows.persist()  # packing reads its rows several times
+        try:
+            pack_batches(rows, block, order, group_size).write.mode("overwrite").parquet(f"{sink}/micro_batch={batch}")
+        finally:
+            rows.unpersist()
 
     return _start(stream.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint), once)
 
