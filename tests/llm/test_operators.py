@@ -405,6 +405,29 @@ def test_varying_fields_are_one_template(spark):
     assert all(r.n_dropped == 1 and "last changed" not in r.record.text and r.record.text.count("\n") == 1 for r in got)
 
 
+def test_blocks_of_lines_go(spark):
+    """Blocks of 2 and 3 lines at the head, in the middle and at the foot; near copies stay whole."""
+    from quillmill.llm.lines import drop_boilerplate
+
+    rng = random.Random(4)
+    data, expected = [], {}
+    for n in (2, 3):
+        for at in (0, 2, 4):
+            block = [sentence(rng, 10 + i) for i in range(n)]
+            for _ in range(30):
+                body = [sentence(rng, rng.randint(9, 20)) for _ in range(4)]
+                expected[len(data)] = "\n".join(body)
+                data.append((len(data), "\n".join([*body[:at], *block, *body[at:]])))
+    original = [sentence(rng, 14).split() for _ in range(8)]
+    for i in range(40):  # one word of one line differs, also a leading or a last one
+        lines = [list(words) for words in original]
+        lines[i % 8][i % 14] = f"other{sentence(rng, 1)}"
+        expected[len(data)] = "\n".join(" ".join(words) for words in lines)
+        data.append((len(data), expected[len(data)]))
+    got = drop_boilerplate(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert {r.record.doc_id: r.record.text for r in got} == expected
+
+
 # ---- quality
 
 
