@@ -191,7 +191,10 @@ def distances(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int) -> Dat
 
 
 def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, text) of nodes; a repeated id may bring a text of another node, which is left out."""
+    """(node, text) of nodes; a repeated id may bring a text of another node, which is left out.
+
+    Rows without an id are found by their node, which is computed where they are read.
+    """
     needed = materialize(nodes.join(reps, "node").select("node", "id"), "needed")
     picked = docs.join(_small(needed), "id").select("node", "text")
 
@@ -200,7 +203,19 @@ def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFr
             keep = [set_hash(shingles(t.as_py(), k)) == n.as_py() for n, t in zip(batch.column("node"), batch.column("text"))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return picked.mapInArrow(run, "node bigint, text string")
+    found = picked.mapInArrow(run, "node bigint, text string")
+    unnamed = needed.where("id is null").select("node")
+    if unnamed.isEmpty():
+        return found
+
+    def noded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), k) for t in batch.column("text")]
+            nodes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([nodes, batch.column("text")], ["node", "text"])
+
+    bare = docs.where("id is null").select(F.col("text").cast("string").alias("text")).mapInArrow(noded, "node bigint, text string")
+    return found.union(bare.join(_small(unnamed), "node").dropDuplicates(["node"]).select("node", "text"))
 
 
 def sketch_of(elements: np.ndarray) -> bytes:

@@ -580,6 +580,24 @@ def test_jaccard_chains_and_large_regions(spark, monkeypatch):
         assert ordered(r[:3] for r in got) == ordered(plain_classes(data, k, num, den))
 
 
+def test_jaccard_near_copies_without_ids(spark):
+    from quillmill.llm.jaccard import join_classes, keep_one_of_each
+
+    rng = random.Random(12)
+    data = []
+    for ids in ((None, None, None), (None, 7), (None, None, 3)):
+        words = sentence(rng, 120).split()
+        for i, ident in enumerate(ids):
+            changed = list(words)
+            changed[30] = f"other{i}"
+            data.append((ident, " ".join(changed)))
+    data += [data[0], data[0], (None, sentence(rng, 40))]
+    table = spark.createDataFrame(data, "doc_id long, text string")
+    got = join_classes(table, 3, 90, 100).collect()
+    assert ordered(r[:3] for r in got) == ordered(plain_classes(data, 3, 90, 100))
+    assert ordered((r.doc_id,) for r in keep_one_of_each(table, 3, 90, 100).collect()) == ordered([(3,), (7,), (None,), (None,)])
+
+
 def test_sketches_never_exceed_the_difference():
     import numpy as np
 
