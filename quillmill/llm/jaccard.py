@@ -369,6 +369,8 @@ def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc
     a null id. Equal sets are one node, known by a 64-bit hash; repeated rows fall together. Other columns
     aren't read.
     """
+    if not 4 * den <= 5 * num <= 5 * den:
+        raise ValueError("num / den must be from 0.8 to 1: sets are dealt to their own size class and the next one")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sigs = materialize(signatures(rows, k, num, den), "signatures")
     labels = linked_nodes(rows, sigs, k, num, den)

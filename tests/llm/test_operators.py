@@ -625,3 +625,11 @@ def test_region_keys_miss_no_partner():
             part = whole[: len(whole) - cut] if cut else whole
             if len(part) * den >= num * len(whole):
                 assert set(region_keys(whole, num, den).tolist()) & set(region_keys(part, num, den).tolist())
+
+
+@pytest.mark.parametrize("num", [79, 50, 0, 101])
+def test_jaccard_thresholds_it_would_miss_raise(num):
+    from quillmill.llm.jaccard import join_classes
+
+    with pytest.raises(ValueError):
+        join_classes(None, 3, num, 100)
