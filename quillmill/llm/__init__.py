@@ -3,7 +3,19 @@
 Nothing else in the library imports this subpackage.
 """
 
-from quillmill.llm import classifier, fingerprints, jaccard, lines, mixing, pages, pii, quality, sharding, tokens  # noqa: F401  (imported for registration)
+from quillmill.llm import (  # noqa: F401  (imported for registration)
+    classifier,
+    fingerprints,
+    jaccard,
+    lines,
+    merkle,
+    mixing,
+    pages,
+    pii,
+    quality,
+    sharding,
+    tokens,
+)
 from quillmill.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
