@@ -7,10 +7,12 @@ from quillmill.llm import (  # noqa: F401  (imported for registration)
     classifier,
     fingerprints,
     jaccard,
+    licences,
     lines,
     merkle,
     mixing,
     pages,
+    phrases,
     pii,
     quality,
     sharding,
