@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quillmill.operators.splits import percent_slice
+from quillmill.sources.records import read_csv
 
 # The file kinds a dataset may come in.
 EXTENSIONS = ("csv", "json", "txt")
@@ -29,10 +30,9 @@ def read_file(
     if kind == "txt":
         lines = spark.read.text(path)
         return lines.select(F.concat("value", F.lit("\n")).alias("text") if keep_linebreaks else F.col("value").alias("text"))
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    if kind == "json":
-        return reader.json(path)
-    return reader.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+    if kind == "csv":
+        return read_csv(spark, path, schema)
+    return (spark.read if schema is None else spark.read.schema(schema)).json(path)
 
 
 def read_dataset(

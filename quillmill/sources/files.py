@@ -11,13 +11,10 @@ from quillmill.functions.columns import decode_text
 from quillmill.operators import ordering as o
 from quillmill.operators.combine import missing_files
 from quillmill.session import materialize
+from quillmill.sources.records import FILE_ORDER, read_csv
 
 MAX_LISTED = 10_000
 
-# File order of text records: file, then the part of it a task reads, then the
-# record within that part. Holds however the file is cut into tasks.
-FILE_ORDER = ("__file", "__start", "__seq")
-
 
 def _in_file_order(df: DataFrame) -> DataFrame:
     return df.select(
@@ -96,21 +93,16 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
-def _csv(spark: SparkSession):
-    return spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-
-
 def read_bibliography(spark: SparkSession, path: str) -> DataFrame:
     """The ``bbl`` column as ``text``."""
-    return _csv(spark).csv(path).select(F.col("bbl").alias("text"))
+    return read_csv(spark, path).select(F.col("bbl").alias("text"))
 
 
 def read_bibliography_shards(spark: SparkSession, pattern: str) -> DataFrame:
     """All monthly bibliography files at once, with the shard their name gives (``..._<yymm>.csv``)."""
-    yymm = F.regexp_extract(F.col("_metadata.file_name"), r"_([0-9]{4})\.csv", 1).cast("int")
+    yymm = F.regexp_extract("__file", r"_([0-9]{4})\.csv$", 1).cast("int")
     return (
-        _csv(spark)
-        .csv(pattern)
+        read_csv(spark, pattern, order=True)
         .select(F.col("bbl").alias("text"), yymm.alias("month"))
         .withColumn("year", F.floor(F.col("month") / 100).cast("int"))
     )
@@ -121,10 +113,9 @@ def read_corpus_csv(spark: SparkSession, path: str, row_percent: float | None =
 
     Percentages count records, not physical lines.
     """
-    raw = _csv(spark).csv(path)
     if row_percent is None:
-        return raw.na.drop("any")
-    ordered = _in_file_order(raw)
+        return read_csv(spark, path).na.drop("any")
+    ordered = read_csv(spark, path, order=True)
     cuts = {"__cut": lambda n: F.floor(n * F.lit(float(row_percent)) / F.lit(100.0))}
     kept = o.with_cuts(ordered, list(FILE_ORDER), cuts).where(o.before_cut(FILE_ORDER, "__cut"))
-    return kept.select(*raw.columns).na.drop("any")
+    return kept.drop(*FILE_ORDER, "__cut").na.drop("any")
