@@ -77,7 +77,7 @@ def test_types_and_clashing_names(spark, tmp_path):
 
 
 def test_state_of_a_line():
-    cases = {b"a,b": (False, True), b'a,"b': (True, False), b'"a""': (True, False), b'a"b': (False, False), b'"': (True, False), b'""': (False, True), b'x",y"': (False, False), b'x","y': (True, False)}
+    cases = {b"a,b": (False, True), b'a,"b': (True, False), b'"a""': (True, False), b'a"b': (False, False), b'"': (True, False), b'""': (False, True), b'x",y"': (False, False), b'x","y': (True, True)}
     for line, (outside, inside) in cases.items():
         assert (ends_inside(line, False), ends_inside(line, True)) == (outside, inside), line
 
