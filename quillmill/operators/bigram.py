@@ -2,22 +2,31 @@
 
 Pairs are counted before they are shuffled, so a pair that holds a large part of
 the corpus is one row per task. Every smoothed loss is a lookup of the pair and
-of the total of its first token.
+of the total of its first token. Losses of rows send the frequent terms to the rows
+and only exchange counts of the others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.operators.lookup import lookup_join
 from quillmill.operators.tokenization import map_items
 from quillmill.session import materialize
 
 PAIR = ("prev", "next")
 
+#: Loss terms sent to the rows at most.
+MAX_SHIPPED = 1_000_000
+#: A code with more than 1/HEAVY of the rows is dealt to SALTS tasks.
+HEAVY, SALTS = 1000, 32
+
 
 def pairs(df: DataFrame, keep: Sequence[str] = (), ids: str = "input_ids", ignore: int | None = None) -> DataFrame:
     """One row per adjacent pair of tokens."""
@@ -96,6 +105,97 @@ def score_shards(
     )
 
 
+def adjustments(model: DataFrame, k: float, vocab_size: int) -> DataFrame:
+    """(code, adj, weight): what a known pair, and a known first token, add to the loss of an unknown pair.
+
+    -log((c + k) / (total + k V)) is log(V) plus a term for the first token's total plus a term for the
+    pair's count, each 0 if it was never seen. So a row's loss is a sum of independent lookups: one
+    code for the pair (prev in the high half, next + 1 in the low one), one for prev alone (low half 0).
+    """
+    high = F.shiftleft(F.col("prev").cast("bigint"), 32)
+    seen = model.select(
+        high.bitwiseOR(F.col("next").cast("bigint") + 1).alias("code"),
+        (F.log(F.lit(float(k))) - F.log(F.col("c") + F.lit(float(k)))).alias("adj"),
+        F.col("c").alias("weight"),
+    )
+    smoothing = F.lit(float(k) * vocab_size)
+    totals = model.groupBy("prev").agg(F.sum("c").alias("weight"))
+    return seen.unionByName(
+        totals.select(high.alias("code"), (F.log(F.col("weight") + smoothing) - F.log(smoothing)).alias("adj"), "weight")
+    )
+
+
+def _frequent(table: DataFrame, most: int) -> tuple[int, bool]:
+    """(e, rest): at most ``most`` rows weigh 2**e or more; whether there are others. At most 64 counts are read."""
+    steps = table.groupBy(F.floor(F.log2("weight")).cast("int").alias("e")).agg(F.count(F.lit(1)).alias("n")).collect()
+    taken, level = 0, 64
+    for e, n in sorted((tuple(r) for r in steps), reverse=True):
+        if taken + n > most:
+            return level, True
+        taken, level = taken + n, e
+    return level, False
+
+
+def _looked_up(df: DataFrame, key: Sequence[str], ids: str, ignore: int | None, shipped, keep_unknown: bool) -> DataFrame:
+    """For every row with a pair: (key..., code null, n pairs, sum of shipped adjustments); with
+    ``keep_unknown`` also (key..., code, n, null), once for each code of the row that wasn't shipped.
+    """
+    rows = df.select(*key, F.col(ids).cast("array<int>").alias("__ids"))
+    names = [*key, "__code", "__n", "__adj"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, adj = shipped.value
+        for batch in batches:
+            lists = batch.column("__ids")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            tokens = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            here = row[1:] == row[:-1]
+            if ignore is not None:
+                here &= (tokens[1:] != ignore) & (tokens[:-1] != ignore)
+            row, first, second = row[1:][here], tokens[:-1][here], tokens[1:][here]
+            n = np.bincount(row, minlength=len(sizes))
+            high = first << 32
+            codes, which = np.unique(np.concatenate((high | (second + 1), high)), return_inverse=True)
+            place = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
+            hit = known[place] == codes if len(known) else np.zeros(len(codes), bool)
+            value = np.where(hit, adj[place] if len(adj) else 0.0, 0.0)
+            both = np.concatenate((row, row))
+            total = np.bincount(both, weights=value[which], minlength=len(sizes))
+            at = np.flatnonzero(n)
+            parts = [(at, None, n[at], total[at])]
+            if keep_unknown:
+                open_ = ~hit[which]
+                pair, count = np.unique(both[open_] * len(codes) + which[open_], return_counts=True)
+                parts.append((pair // len(codes), codes[pair % len(codes)], count, None))
+            for at, code, count, part in parts:
+                values = [*[batch.column(c).take(pa.array(at)) for c in key]]
+                values.append(pa.nulls(len(at), pa.int64()) if code is None else pa.array(code))
+                values.append(pa.array(count, pa.int64()))
+                values.append(pa.nulls(len(at), pa.float64()) if part is None else pa.array(part))
+                yield pa.RecordBatch.from_arrays(values, names)
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in key)
+    return rows.mapInArrow(run, f"{kinds}, __code bigint, __n bigint, __adj double")
+
+
+def _salted_join(counts: DataFrame, table: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``counts`` with the adjustment of their code (0 if unknown), heavy codes split over ``SALTS`` tasks.
+
+    A code is heavy if it has 1/HEAVY of all rows, so there are at most HEAVY of them; only their
+    rows of ``table`` are repeated for the salts.
+    """
+    share = counts.count() / HEAVY
+    heavy = counts.groupBy("__code").agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > share)
+    heavy = F.broadcast(heavy.select(F.col("__code").alias("code"), F.lit(True).alias("heavy")))  # at most HEAVY rows
+    salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = table.select("code", "adj").join(heavy, "code", "left").select("code", "adj", F.explode(salts).alias("salt"))
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = counts.withColumnRenamed("__code", "code").join(heavy, "code", "left").withColumn("salt", salt)
+    joined = salted.join(spread.hint("merge"), ["code", "salt"], "left")
+    return joined.select(*key, F.lit(0).cast("bigint").alias("__n"), (F.col("__n") * F.coalesce("adj", F.lit(0.0))).alias("__adj"))
+
+
 def score_rows(
     df: DataFrame,
     model: DataFrame,
@@ -104,17 +204,31 @@ def score_rows(
     key: Sequence[str],
     ids: str = "input_ids",
     ignore: int | None = None,
+    max_shipped: int = MAX_SHIPPED,
 ) -> DataFrame:
-    """Mean loss of every row (block, document or batch) with at least one pair.
+    """Mean loss of every row (block, document or batch) with at least one pair; token ids are 0 or more.
 
-    Losses are computed once per distinct pair; rows fetch them by a lookup join
-    that broadcasts the most frequent pairs. Pass a materialized table.
+    Loss terms of the most frequent pairs and first tokens (at most ``max_shipped``, 16 bytes each) are
+    sent to the rows. Pairs are counted within their row, so all that is exchanged is one partial sum
+    for a row, and one count for each of its distinct pairs that isn't among those; when the table holds
+    every term, no pair moves. Pass a materialized ``model``, it is read four times.
     """
-    each = pairs(df, key, ids, ignore)
-    counted = each.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("c"))
-    losses = materialize(pair_losses(counted, model, k, vocab_size), "pair-losses")
-    found = lookup_join(each, losses, PAIR, frequency="c")
-    return found.groupBy(*key).agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("loss").alias("loss"))
+    key = list(key)
+    table = adjustments(model, k, vocab_size)
+    level, rest = _frequent(table, max_shipped)
+    frequent = F.col("weight") >= F.lit(2.0**level)
+    sent = table.where(frequent).select("code", "adj").toArrow()  # at most max_shipped rows
+    code = sent.column("code").to_numpy()
+    order = np.argsort(code)
+    shipped = df.sparkSession.sparkContext.broadcast((code[order], sent.column("adj").to_numpy()[order]))
+    found = _looked_up(df, key, ids, ignore, shipped, rest)
+    if rest:
+        found = materialize(found, "pair-counts")  # looked up once, read for the counts and for the sums
+        unknown = found.where(F.col("__code").isNotNull()).drop("__adj")
+        sums = found.where(F.col("__code").isNull()).drop("__code")
+        found = sums.unionByName(_salted_join(unknown, table.where(~frequent), key))
+    sums = found.groupBy(*key).agg(F.sum("__n").alias("n_pairs"), F.sum("__adj").alias("__adj"))
+    return sums.select(*key, "n_pairs", (F.lit(math.log(vocab_size)) + F.col("__adj") / F.col("n_pairs")).alias("loss"))
 
 
 def curriculum(

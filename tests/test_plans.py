@@ -97,3 +97,12 @@ def test_steps_do_not_shuffle_by_epoch(spark):
     rows = spark.range(30).select((F.col("id") % 3).alias("epoch"), F.floor(F.col("id") / 3).alias("batch_id"))
     text = plan(batching.assign_steps(rows, 4))
     assert "hashpartitioning(epoch" not in text
+
+
+def test_row_losses_exchange_only_sums(spark, ids):
+    """Pairs are counted and looked up inside their rows, once; what moves is a sum for each row."""
+    model = bigram.fit_bigram(ids)
+    text = plan(bigram.score_rows(ids, model, 0.5, 1000, ["doc_id"]))
+    assert text.count("MapInArrow") == 1 and "Generate" not in text
+    assert text.count("Exchange hashpartitioning(doc_id") == 1 and text.count("Exchange") == 1
+    assert text.index("functions=[sum(__n") < text.index("Exchange") < text.index("partial_sum(__n") < text.index("MapInArrow")
