@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from quillmill.functions.columns import IGNORE_INDEX, with_ignored_pads
 from quillmill.operators import ordering as o
 from quillmill.operators.vocab import PAD_ID
+from quillmill.session import materialize
 
 TOKEN_COLUMNS = ("input_ids", "attention_mask")
 DEFAULT_BLOCK = 2048
 DEFAULT_GROUP = 1000
+#: Ranges of groups that rows are dealt to (for each part of the table), and limits of ranges sent to all workers, at most.
+MAX_RANGES, MAX_SENT = 1 << 15, 1 << 18
 
 
 def block_count(n, block: int):
@@ -64,6 +67,37 @@ def chunk_documents(
     return cut.select(*carried, "chunk_idx", *blocks, *count)
 
 
+def _group_ranges(rows: DataFrame, order: Sequence[str], by: Sequence[str], group_size: int) -> DataFrame:
+    """``rows`` with __range and __first: key ranges of whole groups, and the number of a range's first group.
+
+    Positions are counted on the order columns alone. The keys at which every group (every so many
+    groups, when there are more than MAX_RANGES) begins are the limits by which rows find their range,
+    so the other columns aren't moved for it.
+    """
+    places = o.row_index(rows.select(*by, *order), order, by, "__pos", "__size")
+    per_range = F.ceil(F.col("__size") / (group_size * MAX_RANGES)).cast("long")
+    begins = places.where(F.col("__pos") % (F.lit(group_size) * per_range) == 0)
+    limits = begins.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct(*order))).alias("__limits"),  # at most MAX_RANGES
+        F.max(per_range).alias("__per"),
+    )
+    key = F.struct(*order)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MAX_RANGES.bit_length()))])
+    if by:
+        limits = materialize(limits, "limits")
+        sent = limits.agg(F.coalesce(F.sum(F.size("__limits")), F.lit(0))).first()[0]
+        marked = rows.join(F.broadcast(limits) if sent <= MAX_SENT else limits, list(by))
+        found, per = F.col("__limits"), F.col("__per")
+    else:
+        one = limits.select(F.to_json("__limits").alias("json"), "__per").first()
+        kind = limits.schema["__limits"].dataType.simpleString()
+        found, per = F.from_json(F.lit(one[0] if one and one[0] else "[]"), kind), F.lit(one[1] if one and one[1] else 1)
+        marked = rows
+    # binary search: how many limits are <= the key
+    place = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(found, n + step - 1) <= key, n + step).otherwise(n)) - 1
+    return marked.withColumn("__range", place).withColumn("__first", F.col("__range") * per).drop("__limits", "__per")
+
+
 def pack_batches(
     df: DataFrame,
     block: int,
@@ -76,20 +110,28 @@ def pack_batches(
     """Concatenate every ``group_size`` rows in ``order``, cut, drop the remainder.
 
     Gives (by..., group_id, block_id, columns..., labels). ``index_col`` names a
-    dense 0-based position if the table has one; otherwise it is computed. Token
-    arrays are exchanged once by group (and once for the index); the regrouping of
-    slices into blocks then needs no further exchange, and a block gathers at most
-    ``block`` tokens.
+    dense 0-based position if the table has one; otherwise it is computed from the order
+    columns. Rows know the range of groups they belong to before they move, so token
+    arrays are exchanged once; the regrouping of slices into blocks needs no further
+    exchange, and a block gathers at most ``block`` tokens.
     """
     by = list(by)
     rows = df.select(*by, *dict.fromkeys([*order, *([index_col] if index_col else [])]), *columns)
     if index_col is None:
-        rows = o.row_index(rows, order, by, "__pos")
+        rows, along = _group_ranges(rows, order, by, group_size), list(order)
     else:
-        rows = rows.withColumn("__pos", F.col(index_col))
-    grouped = rows.withColumn("group_id", F.floor(F.col("__pos") / group_size)).withColumn("__n", F.size(columns[0]))
-    earlier = Window.partitionBy(*by, "group_id").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
-    placed = grouped.withColumn("__off", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).where(F.col("__n") > 0)
+        first = F.floor(F.col(index_col) / group_size)
+        rows, along = rows.withColumn("__range", first).withColumn("__first", first), [index_col]
+    here = Window.partitionBy(*by, "__range").orderBy(*along).rowsBetween(Window.unboundedPreceding, 0)
+    sized = rows.withColumn("__n", F.size(columns[0]))
+    counted = sized.withColumn("__at", F.count(F.lit(1)).over(here) - 1).withColumn("__off", F.sum("__n").over(here) - F.col("__n"))
+    begins = F.when(F.col("__at") % group_size == 0, F.col("__off"))
+    placed = (
+        counted.withColumn("__begin", F.last(begins, ignorenulls=True).over(here))
+        .withColumn("group_id", (F.col("__first") + F.floor(F.col("__at") / group_size)).cast("long"))
+        .withColumn("__off", F.col("__off") - F.col("__begin"))
+        .where(F.col("__n") > 0)
+    )
     off, n, b = F.col("__off"), F.col("__n"), F.col("block_id")
     touched = placed.withColumn(
         "block_id",
@@ -99,6 +141,7 @@ def pack_batches(
     hi = F.least((b + 1) * block - off, n)
     pieces = touched.select(
         *by,
+        "__range",
         "group_id",
         "block_id",
         F.struct(
@@ -106,7 +149,8 @@ def pack_batches(
             *[F.slice(c, (lo + 1).cast("int"), (hi - lo).cast("int")).alias(c) for c in columns],
         ).alias("__piece"),
     )
-    gathered = pieces.groupBy(*by, "group_id", "block_id").agg(F.array_sort(F.collect_list("__piece")).alias("__p"))
+    cell = [*by, "__range", "group_id", "block_id"]
+    gathered = pieces.groupBy(*cell).agg(F.array_sort(F.collect_list("__piece")).alias("__p"))
     joined = [F.flatten(F.col("__p")[c]).alias(c) for c in columns]
     blocks = gathered.select(*by, "group_id", "block_id", *joined).where(F.size(columns[0]) == block)
     return blocks.withColumn("labels", F.col(columns[0]))

@@ -266,7 +266,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     header = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
     names = header.columns
     lines = _lines(spark, path)
-    inside = materialize(_starts_inside(materialize(_summaries(lines), "csv-ranges")), "csv-inside")
+    inside = _starts_inside(_summaries(lines))
     marked = lines.join(F.broadcast(inside.withColumn("inside", F.lit(True))), ["__file", "__start"], "left")
     marked = marked.select("value", "__file", "__start", F.coalesce("inside", F.lit(False)).alias("inside"))
     cut = materialize(_cut(marked, len(names)), "csv-records")
