@@ -313,6 +313,34 @@ def metric_hook(spark, sf):
     return out.withColumn("accuracy", F.round("accuracy", 6))
 
 
+@query(
+    "metric_hook_by_split",
+    f"""WITH {PAIRS} SELECT split, round(count_if(coalesce(predicted, -1) = next) / count(*), 6) AS accuracy,
+        count(DISTINCT next)::DOUBLE AS n_tokens FROM pairs LEFT JOIN best USING (prev) GROUP BY split""",
+)
+def metric_hook_by_split(spark, sf):
+    """One split is one group: states of (hits, pairs, tokens seen) are merged, no group meets in a task."""
+
+    def update(state, preds, labels):
+        hits, n, seen = state
+        for p, l in zip(preds, labels):
+            hits += int((p[:-1] == l[1:]).sum())
+            n += len(l) - 1
+            seen.update(l[1:].tolist())
+        return hits, n, seen
+
+    metric = hooks.MergeableMetric(
+        zero=lambda: (0, 0, set()),
+        update=update,
+        merge=lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] | b[2]),
+        finish=lambda s: {"accuracy": s[0] / max(s[1], 1), "n_tokens": len(s[2])},
+    )
+    rows = _split_ids(spark, sf)
+    predicted = bigram.predict_rows(rows.where(F.size("input_ids") > 1), _model(rows))
+    out = hooks.apply_mergeable_metric(predicted, metric, ["accuracy", "n_tokens"], ["split"], labels="input_ids")
+    return out.withColumn("accuracy", F.round("accuracy", 6))
+
+
 EVAL_FLOW = (
     ids_sql()
     + f""",

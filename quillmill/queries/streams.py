@@ -35,12 +35,25 @@ def stream_chunks(spark, sf):
         SELECT group_id, (sum(n) // {BLOCK})::BIGINT AS n_blocks FROM r GROUP BY group_id HAVING sum(n) >= {BLOCK}""",
 )
 def stream_pack(spark, sf):
-    """One input file, hence one micro-batch: the groups are those of the table."""
-    sink, state = scratch_path(spark, "packed"), scratch_path(spark, "state")
-    docs = _stream(spark, sf, "documents").select("doc_id", "text")
-    ids = tokenize(docs, vocabulary(spark, sf))
-    jobs.stream_pack(ids, BLOCK, ["doc_id"], sink, state, group_size=100).awaitTermination()
-    return spark.read.parquet(sink).groupBy("group_id").agg(F.count(F.lit(1)).alias("n_blocks"))
+    """The table arrives in parts, each met by a restarted stream; groups reach over them."""
+    source, sink, state = (scratch_path(spark, name) for name in ("arriving", "packed", "state"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    schema = tokenize(docs, vocabulary(spark, sf)).schema
+    for part in _parts(docs, "doc_id", 3):
+        part.write.mode("append").parquet(source)
+        ids = tokenize(stream_documents(spark, source, docs.schema), vocabulary(spark, sf))
+        jobs.stream_pack(ids, BLOCK, ["doc_id"], sink, state, group_size=100).awaitTermination()
+    blocks = jobs.packed_blocks(spark, sink, state, schema, BLOCK, ["doc_id"], 100)
+    return blocks.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_blocks"))
+
+
+def _parts(df, key, n):
+    """``df`` in ``n`` ascending ranges of ``key``."""
+    least, most = df.agg(F.min(F.col(key).cast("double")), F.max(F.col(key).cast("double"))).first()
+    if least is None:
+        return [df]
+    place = F.floor((F.col(key).cast("double") - least) / max(most - least, 1e-9) * n)
+    return [df.where(F.least(place, F.lit(n - 1)) == i) for i in range(n)]
 
 
 WINDOWS = """SELECT epoch(time_bucket(INTERVAL 1 DAY, ts))::BIGINT AS window_start, user_id AS run_id,
@@ -78,3 +91,21 @@ def stream_log_metrics(spark, sf):
     log = _log(_stream(spark, sf, "events"))
     jobs.stream_log_metrics(log, "1 day", "1 hour", sink, state, complete=True).awaitTermination()
     return _flat(spark.read.parquet(sink))
+
+
+@query(
+    "stream_closed_windows",
+    f"""SELECT * FROM ({WINDOWS}) WHERE window_start + 86400 <= (SELECT epoch(max(ts) - INTERVAL 1 HOUR) FROM events)""",
+)
+def stream_closed_windows(spark, sf):
+    """Events arrive in three parts by time, and the first part's again with the last: too late to count.
+
+    The watermark, an hour behind, closes windows from one trigger to the next and drops their state.
+    """
+    source, sink, state = (scratch_path(spark, name) for name in ("arriving", "windows", "state"))
+    log = _log(table(spark, sf, "events"))
+    parts = _parts(log, "ts", 3)
+    for part in [*parts[:-1], parts[-1].unionByName(parts[0])]:
+        part.write.mode("append").parquet(source)
+        jobs.stream_log_metrics(stream_documents(spark, source, log.schema), "1 day", "1 hour", sink, state).awaitTermination()
+    return _flat(spark.read.parquet(sink))

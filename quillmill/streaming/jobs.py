@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from quillmill.operators.packing import chunk_documents, pack_batches
+from quillmill.operators.ordering import before_cut, with_cuts
+from quillmill.operators.packing import TOKEN_COLUMNS, chunk_documents, pack_batches
 from quillmill.operators.tokenization import tokenize
 
 
@@ -39,22 +41,68 @@ def stream_pack(
     checkpoint: str,
     group_size: int = 1000,
     once: bool = True,
+    columns: Sequence[str] = TOKEN_COLUMNS,
 ) -> StreamingQuery:
-    """Pack tokenized rows. A micro-batch ends a group, as the end of a table does.
+    """Pack tokenized rows in groups of exactly ``group_size``, whatever the triggers' size.
 
-    A micro-batch overwrites the folder named after it, so a replay adds nothing.
+    Rows follow one another by micro-batch, then by ``order``. Fewer than ``group_size`` rows wait for
+    the next micro-batch, in a table of the checkpoint folder that belongs to the micro-batch it was
+    written by. A micro-batch overwrites that table and the folder of blocks named after it, so a
+    replay gives the same blocks once. :func:`packed_blocks` reads them, the open group included.
     """
+    along = ["__batch", *order]
 
     def pack(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        rows = rows.withColumn("__batch", F.lit(batch).cast("bigint"))
+        groups = 0
+        if batch:
+            rows = _waiting(spark, checkpoint, batch - 1, rows.schema).unionByName(rows)
+            groups = spark.read.parquet(_open(checkpoint, batch - 1, "groups")).first()[0]
         rows.persist()  # packing reads its rows several times
         try:
-            pack_batches(rows, block, order, group_size).write.mode("overwrite").parquet(f"{sink}/micro_batch={batch}")
+            n = rows.count()
+            cut = with_cuts(rows, along, {"__cut": lambda n: n - n % group_size})
+            whole = before_cut(along, "__cut")
+            blocks = pack_batches(cut.where(whole), block, along, group_size, columns=columns)
+            blocks.withColumn("group_id", F.col("group_id") + groups).write.mode("overwrite").parquet(f"{sink}/micro_batch={batch}")
+            cut.where(~whole).drop("__cut").write.mode("overwrite").parquet(_open(checkpoint, batch, "rows"))
+            done = spark.range(1).select(F.lit(groups + n // group_size).cast("bigint").alias("groups"), F.lit(batch).alias("batch"))
+            done.write.mode("overwrite").parquet(_open(checkpoint, batch, "groups"))
         finally:
             rows.unpersist()
 
     return _start(stream.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint), once)
 
 
+def _open(checkpoint: str, batch: int | str, part: str) -> str:
+    return f"{checkpoint.rstrip('/')}/open-group/{batch}/{part}"
+
+
+def _waiting(spark: SparkSession, checkpoint: str, batch: int, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(_open(checkpoint, batch, "rows"))
+
+
+def packed_blocks(
+    spark: SparkSession,
+    sink: str,
+    checkpoint: str,
+    schema: StructType,
+    block: int,
+    order: Sequence[str],
+    group_size: int = 1000,
+    columns: Sequence[str] = TOKEN_COLUMNS,
+) -> DataFrame:
+    """What :func:`stream_pack` has written for rows of ``schema``, and the blocks of the group that is still open.
+
+    As the end of a table ends a group, this is what packing all rows seen so far at once would give.
+    """
+    done = spark.read.parquet(_open(checkpoint, "*", "groups")).agg(F.max(F.struct("batch", "groups")).alias("last")).first()[0]
+    rows = _waiting(spark, checkpoint, done.batch, StructType([*schema.fields, StructField("__batch", LongType())]))
+    rest = pack_batches(rows, block, ["__batch", *order], group_size, columns=columns).withColumn("group_id", F.col("group_id") + done.groups)
+    return spark.read.parquet(sink).drop("micro_batch").unionByName(rest)
+
+
 def windowed_loss(log: DataFrame, width: str, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """Steps and loss of every run in every time window; the same on tables and streams."""
     return log.groupBy(F.window("ts", width).alias("w"), *by).agg(

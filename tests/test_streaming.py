@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quillmill.operators.packing import chunk_documents
+from quillmill.operators.packing import chunk_documents, pack_batches
 from quillmill.operators.tokenization import tokenize
 from quillmill.operators.vocab import build_vocab, with_reserved_specials
 from quillmill.sources.datasets import stream_documents
@@ -37,17 +37,53 @@ def test_chunks_and_restart(spark, tmp_path):
     assert [r[2] for r in extra] == [r[2] for r in expected if r[0] == 3]
 
 
-def test_pack(spark, tmp_path):
-    docs, path = folder(spark, tmp_path)
-    vocab = with_reserved_specials(build_vocab(docs))
-    sink, state = str(tmp_path / "out"), str(tmp_path / "state")
-    stream = tokenize(stream_documents(spark, path, docs.schema).select("doc_id", "text"), vocab)
-    jobs.stream_pack(stream, 4, ["doc_id"], sink, state, group_size=10).awaitTermination()
-    out = spark.read.parquet(sink).collect()
-    total = tokenize(docs, vocab).select(F.sum(F.size("input_ids"))).first()[0]
-    assert all(len(r.input_ids) == 4 for r in out)
-    groups = len({(r.micro_batch, r.group_id) for r in out})
-    assert total - 4 * len(out) < 4 * groups
+def test_pack_across_triggers_and_restarts(spark, tmp_path):
+    """The same blocks for 1, 3 and 20 files per trigger, after a restart, and for the table at once."""
+    source = str(tmp_path / "in")
+    rows = [(i, [100 * i + t for t in range(i * 7 % 13)]) for i in range(18)]
+    schema = "doc_id long, input_ids array<int>"
+    df = spark.createDataFrame(rows, schema)
+
+    def arrive(first, last):
+        for i in range(first, last, 3):
+            df.where(F.col("doc_id").between(i, i + 2)).coalesce(1).write.mode("append").parquet(source)
+
+    def run(files, name):
+        sink, state = str(tmp_path / name), str(tmp_path / f"{name}-state")
+        stream = stream_documents(spark, source, schema, max_files=files)
+        jobs.stream_pack(stream, 4, ["doc_id"], sink, state, group_size=7, columns=["input_ids"]).awaitTermination()
+        out = jobs.packed_blocks(spark, sink, state, df.schema, 4, ["doc_id"], 7, columns=["input_ids"])
+        return sorted((r.group_id, r.block_id, r.input_ids) for r in out.collect())
+
+    def expected(n):
+        packed = pack_batches(df.where(F.col("doc_id") < n), 4, ["doc_id"], 7, columns=["input_ids"])
+        return sorted((r.group_id, r.block_id, r.input_ids) for r in packed.collect())
+
+    arrive(0, 9)
+    assert run(3, "restarted") == expected(9)
+    arrive(9, 18)
+    for files, name in ((3, "restarted"), (1, "one"), (20, "all")):
+        assert run(files, name) == expected(18)
+    assert run(1, "one") == expected(18)  # nothing new, nothing twice
+
+
+def test_pack_replays_a_micro_batch(spark, tmp_path):
+    """A micro-batch whose commit got lost is done again, with the same blocks."""
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    df = spark.createDataFrame([(i, [i] * 5) for i in range(25)], "doc_id long, input_ids array<int>")
+    for part in range(2):
+        df.where(F.floor(F.col("doc_id") / 13) == part).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = stream_documents(spark, source, df.schema, max_files=1)
+        jobs.stream_pack(stream, 4, ["doc_id"], sink, state, group_size=10, columns=["input_ids"]).awaitTermination()
+        out = jobs.packed_blocks(spark, sink, state, df.schema, 4, ["doc_id"], 10, columns=["input_ids"])
+        return sorted((r.group_id, r.block_id, r.input_ids) for r in out.collect())
+
+    first = run()
+    for name in ("1", ".1.crc"):
+        (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    assert run() == first
 
 
 def test_text_stream(spark, tmp_path):
@@ -80,3 +116,19 @@ def test_log_metrics(spark, tmp_path):
     closed = run("closed", False)
     # windows still open at the watermark are not written yet
     assert len(closed) == len(set(closed)) and set(closed) < expected and len(closed) == 8
+
+
+def test_late_rows_are_left_out(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "ts timestamp, run_id int, loss double"
+
+    def arrive(*minutes):
+        rows = [(f"2024-01-01 00:{m:02d}:00", 1, float(m)) for m in minutes]
+        df = spark.createDataFrame(rows, "ts string, run_id int, loss double").withColumn("ts", F.to_timestamp("ts"))
+        df.coalesce(1).write.mode("append").parquet(source)
+        jobs.stream_log_metrics(stream_documents(spark, source, schema), "10 minutes", "5 minutes", sink, state).awaitTermination()
+        return sorted((r.window_start.minute, r.n_steps) for r in spark.read.parquet(sink).collect())
+
+    assert arrive(1, 2, 12) == []
+    assert arrive(13, 3, 27) == [(0, 3), (10, 2)]  # 3 is late but its window was open until this trigger
+    assert arrive(4, 14, 28, 59) == [(0, 3), (10, 2), (20, 2)]  # 4 and 14 come after their windows
