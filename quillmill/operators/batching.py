@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.operators import ordering as o
-from quillmill.operators.tokenization import pad_to_longest
+from quillmill.operators.tokenization import pad_to_longest, tokenize, truncate
 from quillmill.operators.vocab import PAD_ID
 from quillmill.session import materialize
 
@@ -31,6 +31,28 @@ def assign_batches(
     return _cut(indexed, batch_size, drop_last)
 
 
+def padded_batches(
+    df: DataFrame,
+    vocab: DataFrame,
+    max_length: int,
+    batch_size: int,
+    order: Sequence[str],
+    text_col: str = "text",
+    pad_id: int = PAD_ID,
+) -> DataFrame:
+    """Consecutive batches of ``batch_size`` rows, tokenized, truncated, and padded to the batch's longest row.
+
+    Adds batch_id, input_ids and attention_mask; the text is dropped. Batches are found from the
+    order columns alone and texts are tokenized and cut where they are read, so one exchange, of
+    at most ``max_length`` ids a row, brings a batch together.
+    """
+    cut = truncate(tokenize(df, vocab, text_col), max_length)
+    ranged = o.with_group_ranges(cut, order, (), batch_size)
+    at = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
+    batched = ranged.withColumn("batch_id", (F.col("__first") + F.floor(at / batch_size)).cast("long")).drop("__first")
+    return pad_to_longest(batched, ["__range", "batch_id"], pad_id).drop("__range")
+
+
 def shuffle_batches(
     df: DataFrame, batch_size: int, seed: int, epoch: int, key: str, drop_last: bool = False
 ) -> DataFrame:

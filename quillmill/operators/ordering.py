@@ -27,6 +27,8 @@ from quillmill.session import materialize
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 1 << 16
 SAMPLES_PER_BUCKET = 16
+#: Ranges of groups that rows are dealt to (for each part of the table), and limits of ranges sent to all workers, at most.
+MAX_RANGES, MAX_SENT = 1 << 15, 1 << 18
 
 BUCKET = "__bucket"
 
@@ -256,3 +258,34 @@ def with_cuts(
         return F.lit(value)
 
     return df.select("*", *[literal(first[name]).cast(types[name]).alias(name) for name in cuts])
+
+
+def with_group_ranges(rows: DataFrame, order: Sequence[str], by: Sequence[str], group_size: int) -> DataFrame:
+    """``rows`` with __range and __first: key ranges of whole groups, and the number of a range's first group.
+
+    Positions are counted on the order columns alone. The keys at which every group (every so many
+    groups, when there are more than MAX_RANGES) begins are the limits by which rows find their range,
+    so the other columns aren't moved for it.
+    """
+    places = row_index(rows.select(*by, *order), order, by, "__pos", "__size")
+    per_range = F.ceil(F.col("__size") / (group_size * MAX_RANGES)).cast("long")
+    begins = places.where(F.col("__pos") % (F.lit(group_size) * per_range) == 0)
+    limits = begins.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct(*order))).alias("__limits"),  # at most MAX_RANGES
+        F.max(per_range).alias("__per"),
+    )
+    key = F.struct(*order)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MAX_RANGES.bit_length()))])
+    if by:
+        limits = materialize(limits, "limits")
+        sent = limits.agg(F.coalesce(F.sum(F.size("__limits")), F.lit(0))).first()[0]
+        marked = rows.join(F.broadcast(limits) if sent <= MAX_SENT else limits, list(by))
+        found, per = F.col("__limits"), F.col("__per")
+    else:
+        one = limits.select(F.to_json("__limits").alias("json"), "__per").first()
+        kind = limits.schema["__limits"].dataType.simpleString()
+        found, per = F.from_json(F.lit(one[0] if one and one[0] else "[]"), kind), F.lit(one[1] if one and one[1] else 1)
+        marked = rows
+    # binary search: how many limits are <= the key
+    place = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(found, n + step - 1) <= key, n + step).otherwise(n)) - 1
+    return marked.withColumn("__range", place).withColumn("__first", F.col("__range") * per).drop("__limits", "__per")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillmill.functions.columns import shard_key
+from quillmill.operators.combine import shard_grid
 from quillmill.operators.splits import take_first
 from quillmill.operators.stats import corpus_stats
-from quillmill.plans.corpus import blocks_of
+from quillmill.plans.corpus import blocks_of, split_manifests, with_bibliography
 from quillmill.queries.base import (
     BLOCK,
     DOCS,
@@ -24,9 +25,10 @@ from quillmill.queries.base import (
     tokenized,
     vocabulary,
 )
-from quillmill.session import scratch_path
+from quillmill.session import materialize, scratch_path
 from quillmill.sources import datasets, files, shards
 from quillmill.sources.datasets import spread
+from quillmill.sources.records import read_csv
 
 
 def _write_csv(df, path):
@@ -191,3 +193,59 @@ def run_log_appended(spark, sf):
         F.max("step").alias("last_step"),
         F.round(F.sum(F.col("metrics")["loss"]), 4).alias("loss_sum"),
     )
+
+
+@query(
+    "pretokenize",
+    f"""WITH {DOCS},
+        ranked AS (SELECT *, doc_id % 3 = 0 AS held, row_number() OVER (PARTITION BY year, month, doc_id % 3 = 0 ORDER BY doc_id) - 1 AS pos,
+                          count(*) OVER (PARTITION BY year, month, doc_id % 3 = 0) AS n FROM docs),
+        tagged AS (SELECT year, month, text, CASE WHEN NOT held THEN 'train' WHEN pos < floor(n * 0.5::DOUBLE) THEN 'val'
+                          WHEN pos < 2 * floor(n * 0.5::DOUBLE) THEN 'test' END AS split FROM ranked),
+        kept AS (SELECT split, year, month, text FROM tagged WHERE split IS NOT NULL),
+        bib AS (SELECT (item_id % 4)::INT AS year, (1 + (item_id // 4) % 12)::INT AS month, text FROM benchmark),
+        every AS (SELECT * FROM kept UNION ALL
+                  SELECT split, year, month, bib.text FROM bib JOIN (SELECT DISTINCT split, year, month FROM kept) USING (year, month)),
+        sized AS (SELECT split, year, month, len(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')) AS n FROM every),
+        made AS (SELECT split, year, month, sum(ceil(n / {BLOCK}))::BIGINT AS blocks,
+                        sum(n // {BLOCK} + CASE WHEN n % {BLOCK} > 0 AND 2 * (n % {BLOCK}) >= {BLOCK} THEN 1 ELSE 0 END)::BIGINT AS num_chunks
+                 FROM sized WHERE n > 0 GROUP BY split, year, month),
+        grid AS (SELECT split, year, month FROM (SELECT unnest(['train', 'val', 'test']) AS split),
+                 (SELECT unnest(range(4))::INT AS year), (SELECT unnest(range(1, 14))::INT AS month))
+        SELECT split, year, year * 100 + month AS month, coalesce(blocks, 0) AS blocks, coalesce(num_chunks, 0) AS num_chunks,
+               blocks IS NOT NULL AS present FROM grid LEFT JOIN made USING (split, year, month)""",
+)
+def pretokenize(spark, sf):
+    """The whole way: manifests and files, heads by shard, bibliography, tokens, blocks, shards, presence report.
+
+    Every document is a file of its own, every third one is in the test manifest. The grid has a 13th month,
+    which no shard fills.
+    """
+    root = scratch_path(spark, "papers")
+    docs = documents(spark, sf).select("doc_id", "year", shard_key(F.col("year"), F.col("month")).alias("month"), "text")
+    docs.write.partitionBy("year", "month", "doc_id").option("maxRecordsPerFile", 1).text(root)
+    year, month, doc_id = (F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("long") for part in ("year", "month", "doc_id"))
+    listed = files.list_files(spark, root, "*.txt").select(F.col("path").alias("tex"), year.alias("year"), month.alias("month"), doc_id.alias("doc_id"))
+    held_out = F.col("doc_id") % 3 == 0
+    train, test = (
+        files.read_manifest(spark, _write_csv(listed.where(part).orderBy("doc_id"), scratch_path(spark, "manifest-csv")))
+        for part in (~held_out, held_out)
+    )
+    manifest = materialize(split_manifests(train, test).select("split", "year", "month", "tex"), "split-manifest")
+    papers = files.read_documents(spark, manifest, root=root, glob="*.txt")
+    place = (F.col("item_id") % 4).alias("year"), (F.floor(F.col("item_id") / 4) % 12 + 1 + F.col("item_id") % 4 * 100).alias("month")
+    bibliography = _write_csv(table(spark, sf, "benchmark").select(*place, F.col("text").alias("bbl")), scratch_path(spark, "bbl"))
+    read = read_csv(spark, bibliography, "year int, month int, text string").withColumn("tex", F.lit(None).cast("string"))
+    both = with_bibliography(papers, {split: read for split in ("train", "val", "test")})
+    shard_root = scratch_path(spark, "shards")
+    shards.write_shards(blocks_of(both, vocabulary(spark, sf), BLOCK, keep=["split", "year", "month", "tex"]), shard_root)
+    counted = F.sum(F.when(F.col("num_chunks") != -1, F.col("num_chunks")))
+    made = shards.read_shard(spark, shard_root).groupBy("split", "year", "month").agg(F.count(F.lit(1)).alias("blocks"), counted.alias("num_chunks"))
+    grid = shard_grid(spark, 4, 13).withColumn("month", shard_key(F.col("year"), F.col("month")))
+    grid = grid.select(F.explode(F.array(*[F.lit(s) for s in ("train", "val", "test")])).alias("split"), "year", "month")
+    report = grid.join(made, ["split", "year", "month"], "left")
+    zero = F.lit(0)
+    return report.select(
+        "split", "year", "month", F.coalesce("blocks", zero).alias("blocks"), F.coalesce("num_chunks", zero).alias("num_chunks"),
+        F.col("blocks").isNotNull().alias("present"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillmill.operators import tokenization as t
 from quillmill.operators import vocab as v
-from quillmill.operators.batching import assign_batches
+from quillmill.operators.batching import padded_batches
 from quillmill.queries.base import SPECIALS, TOKENS, ids_sql, joined, query, texts, tokenized, vocab_sql, vocabulary
 
 
@@ -72,8 +72,7 @@ def tokenize_by_join(spark, sf):
 )
 def tokenize_padded(spark, sf):
     rows = texts(spark, sf).select("doc_id", "text")
-    batched = assign_batches(rows, 8, ["doc_id"])
-    out = t.tokenize_padded(batched, vocabulary(spark, sf), 256)
+    out = padded_batches(rows, vocabulary(spark, sf), 256, 8, ["doc_id"])
     return out.select(
         "doc_id", "batch_id", joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask")
     )

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from quillmill.operators import packing
+from quillmill.operators import ordering, packing
 
 
 def plain(rows, block, size):
@@ -21,7 +21,7 @@ def plain(rows, block, size):
 @pytest.mark.parametrize("ranges", [1 << 15, 3, 1])
 @pytest.mark.parametrize("by", [[], ["part"]])
 def test_packing_equals_the_definition(spark, monkeypatch, ranges, by):
-    monkeypatch.setattr(packing, "MAX_RANGES", ranges)
+    monkeypatch.setattr(ordering, "MAX_RANGES", ranges)
     rng = random.Random(ranges)
     rows = [("a" if not by or i % 3 else f"p{i % 2}", 7 * i, [rng.randint(0, 99) for _ in range(rng.choice([0, 0, 1, 3, 40]))]) for i in range(157)]
     rows += [(rows[0][0], 5000, None)]

@@ -105,3 +105,11 @@ def test_row_losses_exchange_only_sums(spark, ids):
     assert text.count("MapInArrow") == 1 and "Generate" not in text
     assert text.count("Exchange hashpartitioning(doc_id") == 1 and text.count("Exchange") == 1
     assert text.index("functions=[sum(__n") < text.index("Exchange") < text.index("partial_sum(__n") < text.index("MapInArrow")
+
+
+def test_padded_batches_move_cut_ids_only(docs):
+    vocab = with_reserved_specials(build_vocab(docs))
+    text = plan(batching.padded_batches(docs.select("doc_id", "text"), vocab, 16, 8, ["doc_id"]))
+    assert text.count("Exchange") == 1 and text.index("Exchange") < text.index("ArrowEvalPython")
+    assert "text#" not in text[text.index("Exchange") :].split("\n")[1]
+    assert text.index("Exchange") < text.index("slice(") < text.index("ArrowEvalPython")
