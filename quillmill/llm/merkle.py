@@ -133,7 +133,9 @@ def prove(leaves: DataFrame) -> DataFrame:
     order = ["known", "key", "leaf", "changed"]
     alike = alike.withColumn("known", F.col("id").isNotNull()).withColumn("key", F.coalesce("id", F.lit(0).cast(kind)))
     alike = materialize(alike, "leaves")
-    ranked = running(alike, order, {"upto": ("sum", F.col("m"))}, ["tree"], range_bucket(alike, ["known", "key"]), totals=True)
+    # enough ranges that a tree with a third of all leaves is many small tasks
+    ranges = range_bucket(alike, ["known", "key"], least=2 * int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranked = running(alike, order, {"upto": ("sum", F.col("m"))}, ["tree"], ranges, totals=True)
     start = F.col("upto") - F.col("m")
     segments = F.sequence(F.floor(start / SPAN), F.floor((F.col("upto") - 1) / SPAN))
     spread = ranked.select("tree", "id", "leaf", "changed", F.col("upto_total").alias("n"), start.alias("start"), "upto", F.explode(segments).alias("seg"))
