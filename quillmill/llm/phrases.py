@@ -26,7 +26,7 @@ from quillmill.operators.ordering import row_index
 #: Words of a phrase at most, and its occurrences at least.
 LONGEST, LEAST = 4, 30
 #: Bytes of text whose occurrences are counted together in a task.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Bits of the filter that stands for the frequent groups of a level: so many for each, up to a limit.
 #: Beyond it more infrequent groups pass and are counted in vain; counts stay exact.
 BITS_EACH, MAX_BITS = 16, 1 << 27
