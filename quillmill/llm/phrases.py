@@ -31,6 +31,9 @@ BLOCK = 4 << 20
 #: Beyond it more infrequent groups pass and are counted in vain; counts stay exact.
 BITS_EACH, MAX_BITS = 16, 1 << 27
 
+#: Parts of a language that are ranked by themselves first.
+LANES = 64
+
 _TEXT = bytearray(range(256))
 for _b in range(65, 91):
     _TEXT[_b] = _b + 32
@@ -297,8 +300,11 @@ def collocations(docs: DataFrame, top: int, lang_col: str = "lang", text_col: st
     found = scored(levels)
     first = words.select(F.col("id").alias("first"), "lang")
     found = found.join(first, F.shiftright("high", 32) == F.col("first")).drop("first")
-    by_lang = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    found = materialize(found.withColumn("rank", F.rank().over(by_lang)).where(F.col("rank") <= top).drop("rank"), "best-phrases")
+    # the best of each lane first, so that one language's task gets at most LANES times as many as stay
+    for lane in ([F.pmod(F.xxhash64("high", "low"), F.lit(LANES))], []):
+        by = Window.partitionBy("lang", *lane).orderBy(F.desc("score"), F.desc("a"))
+        found = found.withColumn("rank", F.rank().over(by)).where(F.col("rank") <= top).drop("rank")
+    found = materialize(found, "best-phrases")
     ids = F.filter(F.array(*_ids(LONGEST)), lambda i: i > 0)
     spelled = found.select("lang", "high", "low", F.posexplode(ids).alias("at", "id")).join(words.select("id", "word"), "id")
     spelled = spelled.groupBy("lang", "high", "low").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
