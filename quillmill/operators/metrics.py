@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions.columns import IGNORE_INDEX, pad_right
@@ -81,8 +81,17 @@ def evaluate_many(df: DataFrame, dataset: str = "dataset") -> DataFrame:
     )
 
 
-def pad_predictions(df: DataFrame, columns: Sequence[str] = ("preds",), filler: int = IGNORE_INDEX) -> DataFrame:
-    """Pad arrays of unequal length to the longest of the table."""
+def pad_predictions(
+    df: DataFrame, columns: Sequence[str] = ("preds",), filler: int = IGNORE_INDEX, by: Sequence[str] = ()
+) -> DataFrame:
+    """Pad arrays of unequal length to the longest of the table, or of their group ``by`` (a batch).
+
+    One long row makes every row of the table as long; by batch, only those beside it.
+    """
+    if by:
+        group = Window.partitionBy(*by)
+        padded = [pad_right(F.col(c), F.greatest(F.max(F.size(c)).over(group), F.lit(0)), filler).alias(c) for c in columns]
+        return df.select(*[c for c in df.columns if c not in columns], *padded).select(*df.columns)
     longest = df.agg(*[F.max(F.size(c)).alias(c) for c in columns]).first()
     out = df
     for c in columns:

@@ -87,9 +87,20 @@ def random_holdout(df: DataFrame, fraction: float, seed: int, key: str) -> DataF
     return joined.withColumn("split", split).drop("__cut", "__random")
 
 
+#: As many rows may meet in one task.
+HEAP_ROWS = 10_000
+
+
 def take_first(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first ``min(n, len)`` rows."""
-    return df.orderBy(*order).limit(n)
+    """The first ``min(n, len)`` rows.
+
+    More than ``HEAP_ROWS`` stay where they are and are compared with the key of the first row
+    beyond them, so ``order`` must then be unique and without nulls.
+    """
+    if n <= HEAP_ROWS:
+        return df.orderBy(*order).limit(n)
+    joined = o.with_cuts(df, order, {"__cut": lambda size: F.least(F.lit(n), size)})
+    return joined.where(o.before_cut(order, "__cut")).drop("__cut")
 
 
 take_clamped = take_first

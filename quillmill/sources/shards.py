@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.operators.splits import take_first
+
 SHARD_COLUMNS = ("split", "year", "month")
 
 
@@ -48,7 +50,7 @@ def write_ranks(df: DataFrame, root: str) -> None:
 
 def write_sample(df: DataFrame, n: int, path: str, order: Sequence[str]) -> None:
     """Keep the first ``n`` rows of a shard as a table of their own."""
-    df.orderBy(*order).limit(n).write.mode("overwrite").parquet(path)
+    take_first(df, n, order).write.mode("overwrite").parquet(path)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:

@@ -87,6 +87,12 @@ def test_first_rows_use_a_heap(docs):
     assert "TakeOrderedAndProject" in plan(splits.take_first(docs.select("doc_id"), 5, ["doc_id"]))
 
 
+def test_many_first_rows_stay_where_they_are(docs):
+    text = plan(splits.take_first(docs.select("doc_id", "text"), 20_000, ["doc_id"]))
+    assert "Exchange" not in text and "TakeOrdered" not in text
+    assert "Exchange" not in plan(splits.take_first(docs.select("doc_id"), 10**9, ["doc_id"]))
+
+
 def test_pairs_are_counted_before_the_shuffle(ids):
     text = plan(bigram.fit_bigram(ids))
     assert text.index("functions=[count(1)]") < text.index("Exchange") < text.index("partial_count(1)")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill.functions.columns import round_binary
-from quillmill.operators import bigram, checkpoints, hooks, metrics, runlog
+from quillmill.operators import bigram, checkpoints, hooks, metrics, runlog, splits
 from quillmill.operators.lookup import lookup_join
 
 NAN, INF = float("nan"), float("inf")
@@ -202,3 +202,16 @@ def test_records_without_a_metric_never_win(spark):
     ends = spark.createDataFrame([("a", 1, 5.0), ("b", 1, nan), ("c", 1, None), ("d", 1, 7.0)], "run_id string, step long, metric double")
     assert [r.run_id for r in runlog.leaderboard(ends, 3, "maximize").collect()] == ["d", "a", "b"]
     assert [r.run_id for r in runlog.leaderboard(ends, 3, "minimize").collect()] == ["a", "d", "b"]
+
+
+def test_predictions_padded_by_batch(spark):
+    df = spark.createDataFrame([(0, [1]), (0, [1, 2, 3]), (1, [4]), (1, []), (2, None)], "batch_id int, preds array<int>")
+    got = [(r.batch_id, r.preds) for r in metrics.pad_predictions(df, by=["batch_id"]).collect()]
+    assert sorted(got, key=str) == [(0, [1, -100, -100]), (0, [1, 2, 3]), (1, [-100]), (1, [4]), (2, None)]
+
+
+def test_many_first_rows(spark, monkeypatch):
+    monkeypatch.setattr(splits, "HEAP_ROWS", 3)
+    df = spark.range(50).repartition(4)
+    for n in (3, 4, 49, 50, 51):
+        assert sorted(r.id for r in splits.take_first(df, n, ["id"]).collect()) == list(range(min(n, 50)))
