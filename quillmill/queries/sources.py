@@ -134,6 +134,23 @@ def table_slice(spark, sf):
     return out.select("doc_id", "lang")
 
 
+@query(
+    "named_splits",
+    """WITH s AS (SELECT doc_id, lang, CASE WHEN doc_id % 5 < 3 THEN 'train' WHEN doc_id % 5 = 3 THEN 'validation' ELSE 'test' END AS split FROM documents),
+       r AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) AS r, count(*) OVER (PARTITION BY split) AS n FROM s)
+       SELECT split, doc_id, lang FROM r WHERE r <= round_even(n * CASE split WHEN 'train' THEN 1.0::DOUBLE ELSE 10.0::DOUBLE END / 100, 0)""",
+)
+def named_splits(spark, sf):
+    """1 % of train and 10 % of the others, by the files' row counts."""
+    root = scratch_path(spark, "splits")
+    rest = F.col("doc_id") % 5
+    split = F.when(rest < 3, "train").when(rest == 3, "validation").otherwise("test")
+    tagged = table(spark, sf, "documents").select("doc_id", "lang", split.alias("split"))
+    tagged.repartitionByRange(8, "doc_id").sortWithinPartitions("split", "doc_id").write.partitionBy("split").parquet(root)
+    wanted = {"train": "train[:1%]", "test": "test[:10%]", "validation": "validation[:10%]"}
+    return datasets.read_splits(spark, root, wanted).select("split", "doc_id", "lang")
+
+
 @query(
     "shard_round_trip",
     f"""WITH {SPLIT}, {chunks_sql()} SELECT split, year, month, count(*) AS blocks, sum(real + missing)::BIGINT AS slots

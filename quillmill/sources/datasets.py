@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quillmill.operators.combine import combine_splits
 from quillmill.operators.splits import percent_slice
 from quillmill.sources.records import read_csv
 
@@ -78,6 +80,50 @@ def read_table_slice(
     return percent_slice(read_table(spark, name), lo_percent, hi_percent, order)
 
 
+_SPLIT = re.compile(r"(?P<name>\w+)(\[(?P<lo>\d+(\.\d+)?%)?:(?P<hi>\d+(\.\d+)?%)?\])?")
+
+
+def read_split(spark: SparkSession, path: str, split: str, split_col: str = "split") -> DataFrame:
+    """A named split of a Parquet tree partitioned by ``split_col``, whole or as a slice: ``train[:1%]``.
+
+    Rows are counted in stored order: by file name, then by their place in the file; limits round to
+    nearest. Files' row counts come from their footers, with no column read, and fix the file and row
+    at which the slice begins and ends. The scan then skips all files outside.
+    """
+    asked = _SPLIT.fullmatch(split.replace(" ", ""))
+    if asked is None:
+        raise ValueError(f"{split!r} is not a split like train, train[:1%] or train[10%:20%]")
+    rows = spark.read.parquet(path).where(F.col(split_col) == asked["name"])
+    lo, hi = (float(asked[end][:-1]) if asked[end] else None for end in ("lo", "hi"))
+    if lo is None and hi is None:
+        return rows.drop(split_col)
+    sizes = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    placed = sizes.select("file", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy()).alias("all"))
+
+    def row_at(percent: float) -> Column:
+        return F.bround(F.col("all") * F.lit(percent) / F.lit(100.0)).cast("long")
+
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    for percent, end in ((lo, "lo"), (hi, "hi")):
+        if percent is None:
+            continue
+        at = row_at(percent) - F.col("start")
+        cut = placed.where((at >= 0) & (at < F.col("n"))).select("file", at.alias("at")).first()
+        if cut is None:  # at the end of the table
+            rows = rows if end == "hi" else rows.where(F.lit(False))
+        elif end == "lo":
+            rows = rows.where((file >= cut.file) & ((file > cut.file) | (row >= cut.at)))
+        else:
+            rows = rows.where((file <= cut.file) & ((file < cut.file) | (row < cut.at)))
+    return rows.drop(split_col)
+
+
+def read_splits(spark: SparkSession, path: str, splits: Mapping[str, str], split_col: str = "split") -> DataFrame:
+    """Several splits or slices in one table, tagged by the name they are given."""
+    return combine_splits({name: read_split(spark, path, split, split_col) for name, split in splits.items()})
+
+
 def stream_documents(
     spark: SparkSession,
     path: str,

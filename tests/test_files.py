@@ -160,3 +160,25 @@ def test_row_percent(spark):
     df = spark.range(100)
     assert splits.row_percent(df, None, ["id"]).count() == 100
     assert splits.row_percent(df, 29, ["id"]).count() == 29
+
+
+def test_named_slices_skip_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 1000, 1, 10).withColumn("split", F.when(F.col("id") < 900, "train").otherwise("test"))
+    rows.write.partitionBy("split").parquet(path)
+
+    def ids(split):
+        return sorted(r.id for r in datasets.read_split(spark, path, split).collect())
+
+    assert ids("train") == list(range(900)) and ids("test") == list(range(900, 1000))
+    assert ids("train[:1%]") == list(range(9)) and ids("train[99%:]") == list(range(891, 900))
+    assert ids("train[10%:50%]") == list(range(90, 450)) and ids("test[25%:25%]") == []
+    assert ids("train[:100%]") == list(range(900)) and ids("train[100%:]") == [] and ids("none[:10%]") == []
+    for bad in ("train[5]", "train[:x%]", "[:1%]", "train[:1%", ""):
+        with pytest.raises(ValueError):
+            datasets.read_split(spark, path, bad)
+    few = datasets.read_split(spark, path, "train[:1%]")
+    few.collect()
+    plan = few._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1
