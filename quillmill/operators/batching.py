@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill.operators import ordering as o
@@ -152,6 +153,36 @@ def resume_from(df: DataFrame, step: int, steps_per_epoch: int, accum: int) -> D
     return df.where(F.col("batch_id") >= skipped)
 
 
+def resume_point_of(checkpoint: str, batches_per_epoch: int, accum: int) -> tuple[int, int]:
+    """(epoch to continue, batches of it to skip) after a checkpoint named ``epoch_<n>`` or ``step_<n>``.
+
+    The name is the last part of a path; an ending (``.pt``) doesn't count. Epochs count from 0, and a
+    checkpoint of epoch n continues with the whole of epoch n + 1.
+    """
+    found = re.fullmatch(r"(epoch|step)_([0-9]+)(\.[^.]*)?", checkpoint.rstrip("/").rsplit("/", 1)[-1])
+    if found is None:
+        raise ValueError(f"{checkpoint} is not named epoch_<n> or step_<n>")
+    if found[1] == "epoch":
+        return int(found[2]) + 1, 0
+    return resume_point_by_batches(int(found[2]), batches_per_epoch, accum)
+
+
+def write_batches(df: DataFrame, path: str) -> None:
+    """Batches clustered by ``batch_id``, so that a reader of the later ones skips the row groups of the others."""
+    df.repartitionByRange("batch_id").sortWithinPartitions("batch_id").write.mode("overwrite").parquet(path)
+
+
+def resume_batches(spark: SparkSession, path: str, checkpoint: str, accum: int) -> DataFrame:
+    """Rows of :func:`write_batches` still to be seen in the epoch that ``checkpoint`` continues, with ``epoch``.
+
+    The limit reaches the scan as a filter on ``batch_id``; no rows if the table has none.
+    """
+    batches = spark.read.parquet(path)
+    last = batches.agg(F.max("batch_id")).first()[0]
+    epoch, skipped = (0, 0) if last is None else resume_point_of(checkpoint, last + 1, accum)
+    return batches.where(F.col("batch_id") >= skipped).withColumn("epoch", F.lit(epoch))
+
+
 def assign_steps(batches: DataFrame, accum: int) -> DataFrame:
     """Map micro-batches to optimizer steps.
 

@@ -24,6 +24,7 @@ from quillmill.queries.base import (
 from quillmill.session import materialize
 
 ROWS = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS n FROM documents"
+from quillmill.session import scratch_path
 
 
 def _blocks(spark, sf):
@@ -140,6 +141,20 @@ def resumed_batches(spark, sf):
     return b.resume_from(batched, 100, plan["updates_per_epoch"], 4)
 
 
+@query(
+    "resumed_by_name",
+    f"""WITH r AS ({ROWS}), nb AS (SELECT max(pos // 8) + 1 AS nb FROM r),
+        c AS (SELECT 'step_30' AS checkpoint, (30 * 4) // nb AS epoch, (30 * 4) % nb AS skipped FROM nb
+              UNION ALL SELECT 'runs/epoch_1.pt', 2, 0)
+        SELECT checkpoint, epoch::INT AS epoch, doc_id, pos // 8 AS batch_id FROM r, c WHERE pos // 8 >= skipped""",
+)
+def resumed_by_name(spark, sf):
+    path = scratch_path(spark, "batches")
+    b.write_batches(b.assign_batches(_ids(spark, sf), 8, ["doc_id"]).select("doc_id", "batch_id"), path)
+    step, epoch = (b.resume_batches(spark, path, name, 4).withColumn("checkpoint", F.lit(name)) for name in ("step_30", "runs/epoch_1.pt"))
+    return step.unionByName(epoch).select("checkpoint", "epoch", "doc_id", "batch_id")
+
+
 @query(
     "optimizer_steps",
     f"""WITH b AS (SELECT DISTINCT pos // 8 AS batch_id FROM ({ROWS})),

@@ -147,6 +147,20 @@ def test_step_plan(spark):
 def test_resume():
     assert b.resume_point(7, 3, 4) == (2, 4)
     assert b.resume_point_by_batches(7, 13, 4) == (2, 2)
+    assert b.resume_point_of("out/step_7", 13, 4) == (2, 2) and b.resume_point_of("epoch_3.pt/", 13, 4) == (4, 0)
+    for bad in ("checkpoint-7", "step_", "epoch_x", "step_7/x"):
+        with pytest.raises(ValueError):
+            b.resume_point_of(bad, 13, 4)
+
+
+def test_resume_reads_later_batches(spark, tmp_path):
+    path = str(tmp_path / "b")
+    b.write_batches(spark.range(100).withColumn("batch_id", F.floor(F.col("id") / 8)), path)
+    rest = b.resume_batches(spark, path, "step_5", 2)
+    assert sorted(r.id for r in rest.collect()) == list(range(80, 100)) and rest.first().epoch == 0
+    text = rest._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(batch_id,10)" in text
+    assert {r.epoch for r in b.resume_batches(spark, path, "epoch_0", 2).collect()} == {1}
 
 
 def test_optimizer_steps_short_epoch(spark):
