@@ -5,17 +5,21 @@ inequality says which documents of a region can have a partner in another and mu
 Among documents that have nothing in common all distances are 1, though, and no pivot tells them
 apart; so the outermost level splits the space by what partners must share:
 
-0. Sets of like size (boundary sizes are copied into the next class) are cut by hash into parts. The
-   symmetric difference of two partners is at most D elements, so among a set's first D + 1 parts that
-   aren't empty one is equal in both. A region is a part and its content.
-1. A region's first set is its pivot; distances to it are computed exactly. Partners of the pivot are
-   joined to it, and regions whose sets are all connected by now are done.
-2. Of the others, small regions compare sets of different components. The sets of larger ones form the
-   crowd. Each gets a sketch, one byte for each of SKETCH parts of its shingles; how many bytes differ is
-   a metric too, and never more than the symmetric difference. Pivots drawn from the crowd make Voronoi
-   regions in that metric: a set goes to its nearest pivot's region and to all that are at most twice the
-   allowed difference further, so that partners meet. Regions are compared in blocks, sketch by sketch,
-   and what the sketches can't tell apart is measured exactly.
+0. Under one order of all shingles (those known as frequent last) the first size - ceil(t * size) + 1
+   shingles of two partners have one in common, for the threshold t. A region is a shingle, and a set is
+   copied into those of its first shingles. Any order is exact; frequencies come from a sample and only
+   keep regions small.
+1. A region's first set is its pivot. Each set has a sketch, one byte for each part of its shingles; how
+   many bytes differ is a metric too, and never more than the symmetric difference. Distances to the
+   pivot that sizes and sketches leave possible are computed exactly; regions whose sets are all
+   connected by now are done.
+2. Larger regions choose new pivots, the sets nearest to what most sketches of a region say, are measured
+   and connected again, for as long as that connects sets.
+3. Of what is left, small regions compare sets of different components. The sets of larger ones form the
+   crowd. Pivots drawn from it make Voronoi regions in the sketches' metric: a set goes to its nearest
+   pivot's region and to all that are at most twice the allowed difference further, so that partners
+   meet. Regions are compared in blocks, sketch by sketch, and what the sketches can't tell apart is
+   measured exactly.
 
 Every pair that is linked ends up connected; distances are always those of the whole sets.
 """
@@ -33,12 +37,16 @@ from pyspark.sql import functions as F
 from quillmill.llm.common import materialize, read
 from quillmill.llm.registry import query
 
-#: Size classes grow by this factor.
-CLASS_RATIO = 1.25
+#: One of so many texts tells which shingles are frequent; the order of shingles knows the first FREQUENT of them (4 MB).
+SAMPLE, FREQUENT = 16, 1 << 18
+#: Rounds of new pivots for large regions.
+ROUNDS = 3
 #: Regions up to this many sets compare all that aren't connected yet.
 SMALL = 48
-#: Bytes of a sketch; sets of a crowd for each pivot, pivots at most, and sets per block of a region.
-SKETCH, PER_PIVOT, MAX_PIVOTS, BLOCK = 128, 256, 1024, 512
+#: Bytes of a sketch of a crowd, shingles for each byte of a set's own sketch.
+SKETCH, PER_BYTE = 128, 3
+#: Sets of a crowd for each pivot, pivots at most, and sets per block of a region.
+PER_PIVOT, MAX_PIVOTS, BLOCK = 256, 1024, 512
 #: Pairs of a pivot that share one copy of its text.
 CHUNK = 64
 #: Ids of candidates are sent to all workers up to so many (tens of MB), joined by shuffle beyond.
@@ -77,75 +85,178 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique(h)
 
 
-def _class_bounds() -> np.ndarray:
-    bounds = [1]
-    while bounds[-1] < 1 << 40:
-        bounds.append(max(bounds[-1] + 1, int(bounds[-1] * CLASS_RATIO)))
-    return np.array(bounds, np.int64)
+def region_keys(elements: np.ndarray, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """The regions of a set (sorted) at level 0 for the threshold num / den: its first shingles in the order.
 
-
-BOUNDS = _class_bounds()
+    ``frequent``: sorted shingles and their counts; these come after all others, by count.
+    """
+    size = len(elements)
+    first = size - -(-num * size // den) + 1
+    if frequent is None or not len(frequent[0]):
+        return elements[:first]
+    known, counts = frequent
+    at = np.minimum(np.searchsorted(known, elements), len(known) - 1)
+    often = np.where(known[at] == elements, counts[at], 0)
+    return elements[np.lexsort((elements, often))[:first]]
 
 
-def _parts(mixed: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(part numbers, content hashes) of the parts that aren't empty, by number."""
-    with np.errstate(over="ignore"):
-        order = np.sort(mixed)
-        at = ((order >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        content = np.add.reduceat(_mix(order * _P[0] + _P[2]), starts)
-    return at[starts], content
+def frequent_shingles(rows: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, counts) of the shingles that more than one of the sampled texts (text) have, sorted; at most FREQUENT."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, k) for t in set(batch.column("text").to_pylist())]
+            if sets:
+                made, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(made.view(np.int64)), pa.array(n, pa.int64())], ["shingle", "n"])
 
-def region_keys(elements: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The regions of a set at level 0, for the threshold num / den."""
-    size = len(elements)
-    own = int(np.searchsorted(BOUNDS, size, side="right")) - 1
-    classes = [own]
-    if size * den >= num * int(BOUNDS[own + 1]):  # may have partners in the next class
-        classes.append(own + 1)
-    keys = []
-    for c in classes:
-        most = int(BOUNDS[c + 1]) - 1
-        differ = 2 * most * (den - num) // (den + num)
-        seed, parts = 0, differ + differ // 4 + 2
-        while True:
-            with np.errstate(over="ignore"):
-                number, content = _parts(_mix(elements + np.uint64(seed) * _P[0]), parts)
-                key = _mix(content + _mix(number * _P[1] + np.uint64(c * 64 + seed)))
-            keys.append(key[: differ + 1])
-            if len(number) > differ or seed > 40:
-                break
-            # fewer filled parts than may differ: also deal the set into more parts, as others like it do
-            seed, parts = seed + 1, parts * 3
-    return np.concatenate(keys)
+    sampled = rows.select("text").where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    counted = sampled.mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+    known, n = top.column("shingle").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    order = np.argsort(known)
+    return known[order], n[order]
 
 
 def set_hash(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
 
 
+def sketch_of(elements: np.ndarray, width: int = SKETCH) -> bytes:
+    """One byte for the content of each of ``width`` (a power of two) parts; an empty part is 0.
+
+    Bytes are sums, so that neighbouring parts of a wider sketch add up to those of a narrower one.
+    """
+    with np.errstate(over="ignore"):
+        h = _mix(elements + _P[2])
+    part = (h >> np.uint64(65 - width.bit_length())).astype(np.int64)
+    return np.bincount(part, weights=h & np.uint64(255), minlength=width).astype(np.int64).astype(np.uint8).tobytes()
+
+
+def own_width(size: int) -> int:
+    """Bytes of the sketch of a set: the least power of two that has a byte for PER_BYTE shingles, SKETCH at least."""
+    return max(SKETCH, 1 << (-(-size // PER_BYTE) - 1).bit_length()) if size else SKETCH
+
+
+def narrowed(sketch: bytes, width: int = SKETCH) -> np.ndarray:
+    return np.frombuffer(sketch, np.uint8).reshape(width, -1).sum(axis=1, dtype=np.uint8)
+
+
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(id, n_shingles, node, regions) of (id, text): node is the same for equal sets, null for empty ones."""
+    """(id, n_shingles, node, sketch, keys) of (id, text): node is the same for equal sets, null for empty ones.
+
+    Only the first row of a node in a task has its sketch and keys.
+    """
     id_type = docs.schema["id"].dataType.simpleString()
+    rows = docs.select("id", F.col("text").cast("string").alias("text"))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(rows, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            n, nodes, regions = [], [], []
+            n, nodes, sketches, keys = [], [], [], []
+            if len(seen) > KNOWN_WORDS:
+                seen.clear()
             for t in batch.column("text"):
                 s = shingles(t.as_py(), k)
+                node = set_hash(s) if len(s) else None
+                new = node is not None and node not in seen
+                seen.add(node)
                 n.append(len(s))
-                nodes.append(set_hash(s) if len(s) else None)
-                regions.append(region_keys(s, num, den).view(np.int64) if len(s) else np.zeros(0, np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in regions])]).astype(np.int32)
-            flat = np.concatenate(regions) if regions else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), lists], ["id", "n_shingles", "node", "regions"]
-            )
+                nodes.append(node)
+                sketches.append(sketch_of(s, own_width(len(s))) if new else None)
+                keys.append(region_keys(s, num, den, frequent.value).view(np.int64) if new else np.zeros(0, np.int64))
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in keys])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])))
+            made = [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *made], ["id", "n_shingles", "node", "sketch", "keys"])
 
-    rows = docs.select("id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, n_shingles bigint, node bigint, regions array<bigint>")
+    return rows.mapInArrow(run, f"id {id_type}, n_shingles bigint, node bigint, sketch binary, keys array<bigint>")
+
+
+def shared_regions(members: DataFrame) -> DataFrame:
+    """(region, p, x) of (region, node): the other sets of the regions that have several, with the first one, their pivot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            region, node = (c.to_numpy() for c in batch.columns)
+            starts = np.concatenate([[last is None or region[0] != last[0]], region[1:] != region[:-1]])
+            other = np.concatenate([[last is not None and node[0] != last[1]], node[1:] != node[:-1]]) & ~starts
+            begin = np.maximum.accumulate(np.where(starts, np.arange(len(region)), -1))
+            pivot = np.where(begin >= 0, node[begin], last[2] if last else 0)
+            last = region[-1], node[-1], pivot[-1]
+            made = [pa.array(c[other]) for c in (region, pivot, node)]
+            yield pa.RecordBatch.from_arrays(made, ["region", "p", "x"])
+
+    rows = members.select("region", "node").repartition("region").sortWithinPartitions("region", "node")
+    return rows.mapInArrow(run, "region bigint, p bigint, x bigint")
+
+
+def may_link(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (p, x) of ``sets`` (node, n, sketch) that neither sizes nor sketches rule out."""
+    for side in ("p", "x"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
+    pairs = pairs.where(F.least("n_p", "n_x") * den >= F.greatest("n_p", "n_x") * num)
+    for side in ("p", "x"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("sketch").alias(f"of_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, a, b in zip(*[batch.column(c).to_pylist() for c in ("n_p", "n_x", "of_p", "of_x")]):
+                width = min(len(a), len(b))
+                differ = int((narrowed(a, width) != narrowed(b, width)).sum())
+                keep.append(differ * (den + num) <= (n + m) * (den - num))
+            yield batch.select(["p", "x"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("p", "x", "n_p", "n_x", "of_p", "of_x").mapInArrow(run, "p bigint, x bigint")
+
+
+def _narrow(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds n, the set's size, and its ``sketch`` of SKETCH bytes to rows with a node x."""
+    kept = [c for c in rows.columns if c != "n"]
+    types = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            narrow = pa.array([narrowed(s).tobytes() for s in batch.column("sketch").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], narrow], batch.schema.names)
+
+    joined = rows.select(*kept).join(sets.select(F.col("node").alias("x"), "n", "sketch"), "x")
+    return joined.select(*kept, "n", "sketch").mapInArrow(run, f"{types}, n bigint, sketch binary")
+
+
+def central_pairs(large: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
+    """(p, x): the sets of large regions (region, x, n), each in one of its regions, with the region's new pivot.
+
+    The pivot is the set whose sketch differs least from the region's commonest bytes, so that the
+    common origin of edited copies is found. The first turn takes a set's largest region, later ones
+    another each.
+    """
+    rank = F.col("n") if turn == 0 else F.xxhash64("region", F.lit(turn))
+    placed = large.groupBy("x").agg(F.max(F.struct(rank.alias("rank"), "region"))["region"].alias("region"))
+    placed = materialize(_narrow(placed, sets).select("region", "x", "sketch"), "placed")
+    at = F.explode(F.sequence(F.lit(1), F.lit(SKETCH)))
+    bytes_ = placed.select("region", "sketch", at.alias("at")).select("region", "at", F.expr("substring(sketch, at, 1)").alias("byte"))
+    counted = bytes_.groupBy("region", "at", F.hex("byte").alias("byte")).agg(F.count("*").alias("n"))
+    common = counted.groupBy("region", "at").agg(F.max(F.struct("n", "byte"))["byte"].alias("byte"))
+    common = common.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("at", "byte"))).alias("bytes"))
+    common = common.select("region", F.unhex(F.concat_ws("", F.transform("bytes", lambda b: b["byte"]))).alias("common"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            far = [
+                int((np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)).sum())
+                for a, b in zip(batch.column("sketch").to_pylist(), batch.column("common").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.select(["region", "x"]).columns, pa.array(far, pa.int32())], ["region", "x", "far"])
+
+    far = placed.join(common, "region").select("region", "x", "sketch", "common").mapInArrow(run, "region bigint, x bigint, far int")
+    pivots = far.groupBy("region").agg(F.min(F.struct("far", "x"))["x"].alias("p"))
+    return placed.select("region", "x").join(pivots, "region").where("x != p").select("p", "x").distinct()
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -218,29 +329,10 @@ def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFr
     return found.union(bare.join(_small(unnamed), "node").dropDuplicates(["node"]).select("node", "text"))
 
 
-def sketch_of(elements: np.ndarray) -> bytes:
-    """One byte for the content of each of SKETCH parts; an empty part is 0."""
-    out = np.zeros(SKETCH, np.uint8)
-    if len(elements):
-        with np.errstate(over="ignore"):
-            number, content = _parts(_mix(elements + _P[2]), SKETCH)
-        out[number.astype(np.int64)] = (content >> np.uint64(56)).astype(np.uint8)
-    return out.tobytes()
-
-
-def _crowd_pairs(docs: DataFrame, reps: DataFrame, crowd: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _crowd_pairs(crowd: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(p, x) of a crowd (x, comp): all pairs of different components that may be partners by their sketches."""
-    spark = docs.sparkSession
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t.as_py(), k) for t in batch.column("text")]
-            made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch_of(s) for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), *made], ["x", "n", "sketch"])
-
-    texts = _texts(docs, reps, crowd.select(F.col("x").alias("node")), k)
-    sketched = texts.mapInArrow(sketch, "x bigint, n bigint, sketch binary").dropDuplicates(["x"]).join(_small(crowd), "x")
-    sketched = materialize(sketched, "sketches")
+    spark = crowd.sparkSession
+    sketched = materialize(_narrow(crowd, sets), "sketches")
     wanted = min(max(1, sketched.count() // PER_PIVOT), MAX_PIVOTS)
     pivots = sketched.orderBy(F.xxhash64("x"), "x").limit(wanted).select("sketch").collect()  # MAX_PIVOTS * SKETCH bytes
     shared = spark.sparkContext.broadcast(np.frombuffer(b"".join(r.sketch for r in pivots), np.uint8).reshape(-1, SKETCH))
@@ -329,21 +421,40 @@ def _is_link(num: int, den: int):
 
 def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(node, comp) of the nodes that have a partner; ``sigs`` as ``signatures`` makes them, materialized."""
-    reps = sigs.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("regions").alias("regions"))
-    reps = materialize(reps, "sets")
-    members = reps.select("node", F.explode("regions").alias("region"))
-    # the least and the greatest set of a region differ if it has more than one
-    shared = members.groupBy("region").agg(F.min("node").alias("p"), F.max("node").alias("q")).where(F.col("p") != F.col("q"))
-    found = materialize(members.join(shared.select("region", "p"), "region"), "regions")
-    pairs = found.where(F.col("node") != F.col("p")).select("p", F.col("node").alias("x")).distinct()
-    known = materialize(distances(docs, reps, materialize(pairs, "pairs"), k), "distances")
+    named = sigs.where("node is not null")
+    sets = named.groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n"), F.first("sketch", True).alias("sketch"))
+    sets = materialize(sets, "sets")
+    found = materialize(shared_regions(named.select("node", F.explode("keys").alias("region"))), "regions")
+    known = None
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.distinct()
+        if known is not None:
+            before = known.select("p", "x").union(known.select(F.col("x").alias("p"), F.col("p").alias("x")))
+            pairs = pairs.join(before, ["p", "x"], "left_anti")
+        possible = materialize(may_link(pairs, sets, num, den), "pairs")
+        return materialize(distances(docs, sets, possible, k), "distances")
+
+    def opened(members: DataFrame) -> DataFrame:
+        """(region, x, comp, n) of the regions that aren't one component yet; n counts their sets."""
+        active = materialize(_with_comp(members.select("region", "x"), labels), "active")
+        stats = active.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        stats = materialize(stats.where(F.col("low") != F.col("high")).select("region", "n"), "open")
+        return materialize(active.join(stats, "region"), "active")
+
+    known = measured(found.select("p", "x"))
     labels = components(known.where(_is_link(num, den)).select("p", "x"))
-    active = found.where(F.col("node") != F.col("p")).select("region", F.col("node").alias("x"))
-    active = materialize(_with_comp(active, labels), "active")
-    # a region that is one component by now needs no more distances
-    stats = active.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    stats = materialize(stats.where(F.col("low") != F.col("high")).select("region", "n"), "open")
-    active = materialize(active.join(stats, "region"), "active")
+    active = opened(found)
+    for turn in range(ROUNDS):
+        large = active.where(F.col("n") > SMALL)
+        if large.isEmpty():
+            break
+        fresh = measured(central_pairs(large, sets, turn))
+        known = known.unionByName(fresh)
+        if fresh.where(_is_link(num, den)).isEmpty():
+            break
+        labels = components(known.where(_is_link(num, den)).select("p", "x"))
+        active = opened(active)
     small, large = active.where(F.col("n") <= SMALL), active.where(F.col("n") > SMALL)
     one, other = small.alias("one"), small.alias("other")
     close = one.join(other, F.col("one.region") == F.col("other.region")).where(
@@ -352,10 +463,8 @@ def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -
     wanted = close.select(F.col("one.x").alias("p"), F.col("other.x").alias("x"))
     crowd = materialize(large.select("x", "comp").distinct(), "crowd")
     if not crowd.isEmpty():
-        wanted = wanted.union(_crowd_pairs(docs, reps, crowd, k, num, den))
-    measured = known.select("p", "x").union(known.select(F.col("x").alias("p"), F.col("p").alias("x")))
-    fresh = materialize(wanted.distinct().join(measured, ["p", "x"], "left_anti"), "pairs")
-    known = known.unionByName(materialize(distances(docs, reps, fresh, k), "distances"))
+        wanted = wanted.union(_crowd_pairs(crowd, sets, num, den))
+    known = known.unionByName(measured(wanted))
     return components(known.where(_is_link(num, den)).select("p", "x"))
 
 
@@ -370,7 +479,7 @@ def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc
     aren't read.
     """
     if not 4 * den <= 5 * num <= 5 * den:
-        raise ValueError("num / den must be from 0.8 to 1: sets are dealt to their own size class and the next one")
+        raise ValueError("num / den must be from 0.8 to 1: below, regions and sketches rule out too little")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sigs = materialize(signatures(rows, k, num, den), "signatures")
     labels = linked_nodes(rows, sigs, k, num, den)
