@@ -40,11 +40,13 @@ from quillmill.llm.registry import query
 #: One of so many texts tells which shingles are frequent; the order of shingles knows the first FREQUENT of them (4 MB).
 SAMPLE, FREQUENT = 16, 1 << 18
 #: Rounds of new pivots for large regions.
-ROUNDS = 3
+ROUNDS = 2
 #: Regions up to this many sets compare all that aren't connected yet.
 SMALL = 48
 #: Bytes of a sketch of a crowd, shingles for each byte of a set's own sketch.
 SKETCH, PER_BYTE = 128, 3
+#: Bits of the sketch that pairs of small regions are compared by, a multiple of 64.
+BITS = 256
 #: Sets of a crowd for each pivot, pivots at most, and sets per block of a region.
 PER_PIVOT, MAX_PIVOTS, BLOCK = 256, 1024, 512
 #: Pairs of a pivot that share one copy of its text.
@@ -134,8 +136,8 @@ def sketch_of(elements: np.ndarray, width: int = SKETCH) -> bytes:
 
 
 def own_width(size: int) -> int:
-    """Bytes of the sketch of a set: the least power of two that has a byte for PER_BYTE shingles, SKETCH at least."""
-    return max(SKETCH, 1 << (-(-size // PER_BYTE) - 1).bit_length()) if size else SKETCH
+    """Bytes of the sketch of a set: the least power of two that has a byte for PER_BYTE shingles, BITS at least."""
+    return max(BITS, 1 << (-(-size // PER_BYTE) - 1).bit_length()) if size else BITS
 
 
 def narrowed(sketch: bytes, width: int = SKETCH) -> np.ndarray:
@@ -229,6 +231,29 @@ def _narrow(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select(*kept, "n", "sketch").mapInArrow(run, f"{types}, n bigint, sketch binary")
 
 
+def close_pairs(small: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(p, x): pairs of different components in small regions (region, x, comp) that sizes and one bit a part leave possible."""
+    words = [f"b{i}" for i in range(BITS // 64)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(narrowed(s, BITS) & 1) for s in batch.column("sketch").to_pylist()]
+            packed = np.concatenate([*bits, np.zeros(0, np.uint8)]).view(np.int64).reshape(-1, len(words))
+            made = [pa.array(np.ascontiguousarray(packed[:, i])) for i in range(len(words))]
+            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("size"), *made], ["x", "size", *words])
+
+    named = sets.select(F.col("node").alias("x"), F.col("n").alias("size"), "sketch").join(small.select("x").distinct(), "x")
+    bits = materialize(named.select("x", "size", "sketch").mapInArrow(run, "x bigint, size bigint, " + ", ".join(f"{w} bigint" for w in words)), "bits")
+    marked = small.select("region", "x", "comp").join(bits, "x")
+    one, other = marked.alias("one"), marked.alias("other")
+    of = [(F.col(f"one.{c}"), F.col(f"other.{c}")) for c in ("region", "comp", "x", "size", *words)]
+    region, comp, x, size = of[:4]
+    differ = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in of[4:]), F.lit(0))
+    close = (comp[0] != comp[1]) & (x[0] < x[1]) & (F.least(*size) * den >= F.greatest(*size) * num)
+    close &= differ * (den + num) <= (size[0] + size[1]) * (den - num)
+    return one.join(other, (region[0] == region[1]) & close).select(x[0].alias("p"), x[1].alias("x"))
+
+
 def central_pairs(large: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
     """(p, x): the sets of large regions (region, x, n), each in one of its regions, with the region's new pivot.
 
@@ -456,11 +481,7 @@ def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -
         labels = components(known.where(_is_link(num, den)).select("p", "x"))
         active = opened(active)
     small, large = active.where(F.col("n") <= SMALL), active.where(F.col("n") > SMALL)
-    one, other = small.alias("one"), small.alias("other")
-    close = one.join(other, F.col("one.region") == F.col("other.region")).where(
-        (F.col("one.comp") != F.col("other.comp")) & (F.col("one.x") < F.col("other.x"))
-    )
-    wanted = close.select(F.col("one.x").alias("p"), F.col("other.x").alias("x"))
+    wanted = close_pairs(small, sets, num, den)
     crowd = materialize(large.select("x", "comp").distinct(), "crowd")
     if not crowd.isEmpty():
         wanted = wanted.union(_crowd_pairs(crowd, sets, num, den))
