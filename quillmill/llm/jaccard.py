@@ -15,8 +15,8 @@ apart; so the outermost level splits the space by what partners must share:
    connected by now are done.
 2. Larger regions choose new pivots, the sets nearest to what most sketches of a region say, are measured
    and connected again, for as long as that connects sets.
-3. Of what is left, small regions compare sets of different components. The sets of larger ones form the
-   crowd. Pivots drawn from it make Voronoi regions in the sketches' metric: a set goes to its nearest
+3. Of what is left, regions of a bounded size compare sets of different components. The sets of larger
+   ones form the crowd. Pivots drawn from it make Voronoi regions in the sketches' metric: a set goes to its nearest
    pivot's region and to all that are at most twice the allowed difference further, so that partners
    meet. Regions are compared in blocks, sketch by sketch, and what the sketches can't tell apart is
    measured exactly.
@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from quillmill.llm.common import materialize, read
 from quillmill.llm.registry import query
 
-#: One of so many texts tells which shingles are frequent; the order of shingles knows the first FREQUENT of them (4 MB).
-SAMPLE, FREQUENT = 16, 1 << 18
+#: One of so many texts tells which shingles are frequent; the order of shingles knows the first FREQUENT of them (16 MB).
+SAMPLE, FREQUENT = 8, 1 << 20
 #: Rounds of new pivots for large regions.
 ROUNDS = 2
-#: Regions up to this many sets compare all that aren't connected yet.
-SMALL = 48
+#: Regions beyond this many sets get new pivots first; up to DIRECT sets they then compare all that aren't connected yet.
+SMALL, DIRECT = 48, 1024
 #: Bytes of a sketch of a crowd, shingles for each byte of a set's own sketch.
 SKETCH, PER_BYTE = 128, 3
 #: Bits of the sketch that pairs of small regions are compared by, a multiple of 64.
@@ -480,7 +480,7 @@ def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -
             break
         labels = components(known.where(_is_link(num, den)).select("p", "x"))
         active = opened(active)
-    small, large = active.where(F.col("n") <= SMALL), active.where(F.col("n") > SMALL)
+    small, large = active.where(F.col("n") <= DIRECT), active.where(F.col("n") > DIRECT)
     wanted = close_pairs(small, sets, num, den)
     crowd = materialize(large.select("x", "comp").distinct(), "crowd")
     if not crowd.isEmpty():

@@ -561,6 +561,7 @@ def test_jaccard_chains_and_large_regions(spark, monkeypatch):
     from quillmill.llm import jaccard
 
     monkeypatch.setattr(jaccard, "SMALL", 3)
+    monkeypatch.setattr(jaccard, "DIRECT", 3)
     monkeypatch.setattr(jaccard, "PER_PIVOT", 6)
     monkeypatch.setattr(jaccard, "BLOCK", 5)
     rng = random.Random(11)
