@@ -11,11 +11,10 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import materialize, read
@@ -217,7 +216,7 @@ def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset(
     line: list[str] = []
 
     def flush() -> None:
-        text = " ".join(entities.unescape("".join(line)).split())
+        text = " ".join("".join(line).split())
         if text:
             blocks.append(text)
         line.clear()
@@ -229,7 +228,7 @@ def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset(
             if item is None:
                 flush()
             elif isinstance(item, str):
-                line.append(item)
+                line.append(entities.unescape(item))  # references don't reach over tags
             elif item is not top and gone(item, inside):
                 if item.tag in BLOCK:
                     flush()
@@ -247,15 +246,14 @@ def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset(
     return "\n".join(blocks)
 
 
-def host_of(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").hostname or "").lower()
-    except ValueError:
-        return ""
+def host_of(url: str) -> Column:
+    """The host of a URL in small letters, also without a scheme (``//host``); empty if it has none."""
+    host = F.regexp_extract(url, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:\s]*)", 1)
+    return F.lower(F.coalesce(host, F.lit("")))
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template array<bigint>) from (url, html): subtrees in many different pages of a host.
+    """(host, template array<bigint>) from (host, html): subtrees in many different pages of a host.
 
     Equal pages count once, so copies of one page don't make it a template.
     """
@@ -263,18 +261,17 @@ def templates(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, pages_, subtrees = [], [], []
-            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 here = xxhash.xxh3_64_intdigest(page or "") - (1 << 63)
                 for h in [*candidates(page or ""), None]:  # None: the page itself
-                    hosts.append(host_of(url))
+                    hosts.append(host)
                     pages_.append(here)
                     subtrees.append(h)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), pa.array(pages_, pa.int64()), pa.array(subtrees, pa.int64())], ["host", "page", "subtree"]
             )
 
-    rows = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    seen = rows.mapInArrow(run, "host string, page bigint, subtree bigint").distinct()
+    seen = pages.select("host", "html").mapInArrow(run, "host string, page bigint, subtree bigint").distinct()
     counts = materialize(seen.groupBy("host", "subtree").agg(F.count("*").alias("n")), "subtrees")
     sizes = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
     often = counts.where(F.col("subtree").isNotNull() & (F.col("n") >= LEAST_PAGES)).join(sizes, "host")
@@ -287,12 +284,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(id, url, text) of every page. Null or empty pages give an empty text; pages without a host
     count as one site; repeated rows stay; other columns aren't read."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    rows = rows.withColumn("host", host_of("url"))
     found = materialize(templates(rows), "templates")
     id_type = rows.schema["id"].dataType.simpleString()
     hashes = found.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     near = F.broadcast(found) if hashes <= BROADCAST_HASHES else found
-    joined = rows.withColumn("host", host).join(near, "host", "left").select("id", "url", "html", "template")
+    joined = rows.join(near, "host", "left").select("id", "url", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

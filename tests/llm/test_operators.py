@@ -487,6 +487,7 @@ def test_pages():
     assert main_text(page) == "Head & line\nOne two three four\nFive <six>\na\nb"
     assert main_text(None) == main_text("") == main_text("<p> </p>") == ""
     assert main_text("plain &amp; text") == "plain & text"
+    assert main_text("<p>a &<i>lt</i> b, &am<b>p;</b> &lt;") == "a &lt b, &amp; <"
     assert main_text("<main><p>x</main><p>y") == "x"
     for odd in ("<" * 5000, "<a " * 5000, '<div class="a' * 5000, "<b>" * 20_000 + "x", "</p>" * 5000, "<![CDATA[", "<!--", "<article>" * 3000):
         main_text(odd), candidates(odd)
@@ -512,6 +513,17 @@ def test_site_templates_go(spark):
     assert extract(table.limit(0)).count() == 0
 
 
+def test_hosts(spark):
+    from quillmill.llm.pages import host_of
+
+    urls = {
+        "https://A.example.com:80/x": "a.example.com", "//cdn.example.org/a": "cdn.example.org", "http://[2001:db8::1]:8/a": "[2001:db8::1]",
+        " http://b.org?q@x": "b.org", "ftp://me@x:pw@c.org/": "c.org", "::bad::": "", "/path//only": "", None: "", "": "",
+    }
+    got = spark.createDataFrame([(u,) for u in urls], "url string").select("url", host_of("url").alias("host")).collect()
+    assert {r.url: r.host for r in got} == urls
+
+
 # ---- Jaccard join
 
 
