@@ -101,6 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Voters:
 
     Takes SAMPLE rows per label. Only their fixed-size counts reach the driver (at most 2 * SAMPLE *
     FEATURES floats, 34 MB). Null ids and labels are left out; without any row all scores are 0.5.
+    The order of rows and partitions changes nothing: voters are ordered by (label, counts).
     """
     usable = labels.select("id", F.col("label").cast("int").alias("label")).where("id is not null and label in (0, 1)")
     usable = usable.dropDuplicates(["id"])
@@ -116,6 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Voters:
             yield pa.RecordBatch.from_arrays([pa.array(counted, pa.binary()), batch.column("label")], ["counts", "label"])
 
     rows = chosen.select("text", "label").mapInArrow(count, "counts binary, label int").distinct().collect()
+    rows.sort(key=lambda r: (r.label, bytes(r.counts)))  # ties among voters go by this order, not by how rows arrive
     counts = np.array([np.frombuffer(r.counts, np.float32) for r in rows], np.float32).reshape(len(rows), FEATURES + STYLES)
     return Voters(counts, np.array([r.label for r in rows], np.float64))
 

@@ -190,6 +190,20 @@ def test_classifier_learns_only_what_it_may(spark):
     assert {r.id: r.score for r in score(docs, again).collect()} == got
 
 
+def test_classifier_ignores_row_order(spark):
+    from quillmill.llm.classifier import fit, score
+
+    rng = random.Random(13)
+    data = [(i, sentence(rng, 3), rng.randint(0, 1)) for i in range(120)]
+    scores = []
+    for parts, seed in ((1, 0), (5, 1)):
+        random.Random(seed).shuffle(data)
+        table = spark.createDataFrame(data, "id long, text string, label int").repartition(parts)
+        voters = fit(table.select("id", "text"), table.select("id", "label"))
+        scores.append({r.id: round(r.score, 6) for r in score(table.select("id", "text"), voters).collect()})
+    assert scores[0] == scores[1]
+
+
 def test_classifier_without_labels(spark, docs):
     from quillmill.llm.classifier import fit, score
 
