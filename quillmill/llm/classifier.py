@@ -101,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Voters:
 
     Takes SAMPLE rows per label. Only their fixed-size counts reach the driver (at most 2 * SAMPLE *
     FEATURES floats, 34 MB). Null ids and labels are left out; without any row all scores are 0.5.
-    The order of rows and partitions changes nothing: voters are ordered by (label, counts).
+    The order of rows and partitions changes scores by rounding at most: voters are ordered by (label, counts).
     """
     usable = labels.select("id", F.col("label").cast("int").alias("label")).where("id is not null and label in (0, 1)")
     usable = usable.dropDuplicates(["id"])

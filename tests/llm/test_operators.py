@@ -200,8 +200,8 @@ def test_classifier_ignores_row_order(spark):
         random.Random(seed).shuffle(data)
         table = spark.createDataFrame(data, "id long, text string, label int").repartition(parts)
         voters = fit(table.select("id", "text"), table.select("id", "label"))
-        scores.append({r.id: round(r.score, 6) for r in score(table.select("id", "text"), voters).collect()})
-    assert scores[0] == scores[1]
+        scores.append({r.id: r.score for r in score(table.select("id", "text"), voters).collect()})
+    assert scores[0] == pytest.approx(scores[1], abs=1e-5)  # blocks of other sizes round differently
 
 
 def test_classifier_without_labels(spark, docs):
