@@ -12,8 +12,10 @@ from quillmill.streaming import jobs
 
 
 def _stream(spark, sf, name):
+    """A table as a stream, be it a file or a folder of files."""
     schema = table(spark, sf, name).schema
-    return stream_documents(spark, sf, schema, glob=f"{name}.parquet")
+    # as a pattern, since a stream takes a plain path for a folder
+    return stream_documents(spark, f"{sf.rstrip('/')}/{name}.parque[t]", schema)
 
 
 @query(

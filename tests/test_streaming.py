@@ -132,3 +132,16 @@ def test_late_rows_are_left_out(spark, tmp_path):
     assert arrive(1, 2, 12) == []
     assert arrive(13, 3, 27) == [(0, 3), (10, 2)]  # 3 is late but its window was open until this trigger
     assert arrive(4, 14, 28, 59) == [(0, 3), (10, 2), (20, 2)]  # 4 and 14 come after their windows
+
+
+def test_queries_stream_tables_that_are_folders(spark, tmp_path):
+    from quillmill.queries import QUERIES
+
+    rows = [(i, " ".join(["a", "b", "c"] * (20 * i))) for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    chunks = QUERIES["stream_chunks"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.chunk_idx) for r in chunks) == [(i, j) for i in range(6) for j in range(-(-60 * i // 128))]
+    assert {r.doc_id: r.num_chunks for r in chunks if r.chunk_idx == 0} == {i: 60 * i // 128 + (60 * i % 128 >= 64) for i in range(1, 6)}
+    events = "SELECT id AS event_id, id % 2 AS user_id, timestamp_ntz'2024-01-01 00:00:00' AS ts, 1.0D AS value FROM range(6)"
+    spark.sql(events).repartition(2).write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted((r.run_id, r.n_steps) for r in QUERIES["stream_log_metrics"](spark, str(tmp_path)).collect()) == [(0, 3), (1, 3)]
