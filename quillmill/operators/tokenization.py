@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -20,6 +21,8 @@ from quillmill.operators.lookup import lookup_join
 from quillmill.operators.vocab import PAD_ID, UNK_ID
 
 MAX_SHIPPED = 1_000_000
+#: Bytes of text, or elements of arrays, that a task works on at once.
+PIECE_BYTES, PIECE_ITEMS = 1 << 21, 1 << 18
 IDS_TYPE = "array<int>"
 
 
@@ -32,6 +35,17 @@ def _shipped(table: DataFrame, columns: Sequence[str], limit: int) -> tuple[pa.A
     return keys, values
 
 
+def pieces(sizes: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(start, rows) of runs of a batch whose sizes sum up to about ``most``; a larger row has its own."""
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + most, "right")), start + 1)
+        yield start, stop - start
+        start = stop
+
+
 def _words(text: pa.Array) -> tuple[pa.Array, pa.Array]:
     """Tokens of a batch as (row offsets, flat tokens)."""
     trimmed = pc.ascii_trim_whitespace(pc.fill_null(text, ""))
@@ -67,10 +81,12 @@ def tokenize(
     @F.arrow_udf(IDS_TYPE)
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, known_ids = shipped.value
+        most = max(PIECE_BYTES, known.nbytes)  # every lookup hashes the vocabulary
         for text in batches:
-            offsets, flat = _words(text)
-            found = known_ids.take(pc.index_in(flat, value_set=known))
-            yield pa.ListArray.from_arrays(offsets, pc.fill_null(found, unk_id))
+            for start, rows in pieces(pc.binary_length(text), most):
+                offsets, flat = _words(text.slice(start, rows))
+                found = known_ids.take(pc.index_in(flat, value_set=known))
+                yield pa.ListArray.from_arrays(offsets, pc.fill_null(found, unk_id))
 
     ids = df.select(*keep, _once(to_ids)(F.col(text_col)).alias("input_ids"))
     return ids.select("*", _ones("input_ids"))
@@ -98,7 +114,8 @@ def tokenize_with(
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = load()
         for text in batches:
-            yield pa.array(encoder(text.to_pylist()), pa.list_(pa.int32()))
+            for start, rows in pieces(pc.binary_length(text), PIECE_BYTES):
+                yield pa.array(encoder(text.slice(start, rows).to_pylist()), pa.list_(pa.int32()))
 
     ids = df.select(*keep, _once(encode)(F.col(text_col)).alias("input_ids"))
     return ids.select("*", _ones("input_ids"))
@@ -130,6 +147,14 @@ def decode(
     return decoded.withColumn(out, F.array_join("__tokens", " ")).drop("__tokens")
 
 
+def _replaced(lists: pa.Array, keys: pa.Array, values: pa.Array, default) -> pa.Array:
+    """Lists with every element replaced by the value of its key; a null list is an empty one."""
+    found = values.take(pc.index_in(lists.flatten().cast(keys.type), value_set=keys))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32())
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
+    return pa.ListArray.from_arrays(offsets, pc.fill_null(found, default))
+
+
 def map_items(
     df: DataFrame,
     items: str,
@@ -153,11 +178,10 @@ def map_items(
     @F.arrow_udf(f"array<{dict(table.dtypes)[value]}>")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keys, values = shipped.value
-        for lists in batches:
-            found = values.take(pc.index_in(lists.flatten().cast(keys.type), value_set=keys))
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32())
-            offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
-            yield pa.ListArray.from_arrays(offsets, pc.fill_null(found, default))
+        most = max(PIECE_ITEMS, len(keys))  # every lookup hashes the table
+        for batch in batches:
+            for start, rows in pieces(pc.list_value_length(batch), most):
+                yield _replaced(batch.slice(start, rows), keys, values, default)
 
     return df.withColumn(out, _once(look_up)(F.col(items)))
 

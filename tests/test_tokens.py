@@ -94,3 +94,21 @@ def test_one_result_on_both_sides_of_the_limit(spark):
             sorted(map(str, t.decode(t.tokenize(df, vocab, max_shipped=n), vocab, max_shipped=n).collect())) for n in (100, 0)
         )
         assert shipped == joined and len(joined) == len(rows)
+
+
+def test_batches_are_worked_on_in_pieces(spark):
+    import pyarrow as pa
+
+    sizes = pa.array([3, None, 4, 50, 0, 1, 9, 1], pa.int32())
+    assert list(t.pieces(sizes, 10)) == [(0, 3), (3, 1), (4, 3), (7, 1)]
+    assert list(t.pieces(pa.array([], pa.int32()), 10)) == []
+    long = "a b " * (t.PIECE_BYTES // 3)
+    rows = [(0, long), (1, None), (2, "b"), (3, long + "c"), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    vocab = spark.createDataFrame([("a", 10), ("b", 11)], "token string, id int")
+    ids = t.tokenize(df, vocab)
+    got = {r.doc_id: r.input_ids for r in ids.collect()}
+    many = [10, 11] * (t.PIECE_BYTES // 3)
+    assert got == {0: many, 1: [], 2: [11], 3: [*many, t.UNK_ID], 4: []}
+    text = {r.doc_id: r.text for r in t.decode(ids, vocab, unknown="?").collect()}
+    assert text == {0: long.strip(), 1: "", 2: "b", 3: long + "?", 4: ""}
