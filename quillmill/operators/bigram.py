@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.operators.tokenization import map_items
+from quillmill.operators.tokenization import PIECE_ITEMS, map_items, pieces
 from quillmill.session import materialize
 
 PAIR = ("prev", "next")
@@ -143,9 +143,14 @@ def _looked_up(df: DataFrame, key: Sequence[str], ids: str, ignore: int | None,
     rows = df.select(*key, F.col(ids).cast("array<int>").alias("__ids"))
     names = [*key, "__code", "__n", "__adj"]
 
+    def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, n in pieces(pc.list_value_length(batch.column("__ids")), PIECE_ITEMS):
+                yield batch.slice(start, n)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, adj = shipped.value
-        for batch in batches:
+        for batch in in_pieces(batches):
             lists = batch.column("__ids")
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             tokens = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

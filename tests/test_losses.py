@@ -42,3 +42,11 @@ def test_row_losses(spark, rows, monkeypatch, shipped, ignore):
     assert got.keys() == expected.keys()
     for name, (n, loss) in expected.items():
         assert got[name][0] == n and got[name][1] == pytest.approx(loss, abs=1e-9)
+
+
+def test_losses_of_rows_beyond_a_piece(spark):
+    rows = [("a", [1, 2] * bigram.PIECE_ITEMS), ("b", [1, 2]), ("c", [1]), ("d", [2, 1] * 3)]
+    df = spark.createDataFrame(rows, "name string, input_ids array<int>").coalesce(1)
+    model = spark.createDataFrame([(1, 2, 3), (2, 1, 1)], "prev int, next int, c long")
+    got = {r["name"]: r.n_pairs for r in bigram.score_rows(df, model, 0.5, 10, ["name"]).collect()}
+    assert got == {"a": 2 * bigram.PIECE_ITEMS - 1, "b": 1, "d": 5}
