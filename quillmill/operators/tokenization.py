@@ -13,12 +13,14 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from quillmill.functions.columns import tokens_of
-from quillmill.operators.lookup import lookup_join
 from quillmill.operators.vocab import PAD_ID, UNK_ID
+from quillmill.session import materialize
 
 MAX_SHIPPED = 1_000_000
 #: Bytes of text, or elements of arrays, that a task works on at once.
@@ -74,7 +76,7 @@ def tokenize(
     small = _shipped(vocab, ("token", "id"), max_shipped)
     if small is None:
         tokens = df.select(*keep, tokens_of(F.col(text_col)).alias("__items"))
-        ids = map_items_by_join(tokens, vocab.select("token", "id"), "token", "id", F.lit(unk_id), "input_ids")
+        ids = map_items_by_join(tokens, vocab.select("token", "id"), "token", "id", unk_id, "input_ids")
         return ids.select(*keep, "input_ids", _ones("input_ids"))
     shipped = df.sparkSession.sparkContext.broadcast(small)
 
@@ -150,9 +152,12 @@ def decode(
 def _replaced(lists: pa.Array, keys: pa.Array, values: pa.Array, default) -> pa.Array:
     """Lists with every element replaced by the value of its key; a null list is an empty one."""
     found = values.take(pc.index_in(lists.flatten().cast(keys.type), value_set=keys))
+    return pa.ListArray.from_arrays(_offsets(lists), pc.fill_null(found, default))
+
+
+def _offsets(lists: pa.Array) -> pa.Array:
     sizes = pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32())
-    offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
-    return pa.ListArray.from_arrays(offsets, pc.fill_null(found, default))
+    return pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
 
 
 def map_items(
@@ -172,7 +177,7 @@ def map_items(
     small = _shipped(table, (match, value), max_shipped)
     if small is None:
         renamed = df.withColumn("__items", F.col(items))
-        return map_items_by_join(renamed, table.select(match, value), match, value, F.lit(default), out)
+        return map_items_by_join(renamed, table.select(match, value), match, value, default, out)
     shipped = df.sparkSession.sparkContext.broadcast(small)
 
     @F.arrow_udf(f"array<{dict(table.dtypes)[value]}>")
@@ -187,33 +192,44 @@ def map_items(
 
 
 def map_items_by_join(df: DataFrame, table: DataFrame, match: str, value: str, default, out: str) -> DataFrame:
-    """Replace every element of ``__items`` through a keyed table, with joins only.
+    """Replace every element of ``__items`` through a keyed table of any size.
 
-    The result depends on the items alone, so rows are known by a 128-bit hash of them: rows need no
-    key, and equal ones are looked up once. An element occurs once per array in the join, with all its
-    positions, and hot elements are joined by broadcast (see ``lookup_join``).
+    Rows are written once, in blocks of about ``PIECE_ITEMS`` elements, as places in the list of their
+    block's distinct elements. Only these lists are joined with the table, so an element is at most one
+    row of the join for each block, however frequent. The blocks then meet what was found for them.
     """
     if df.isStreaming:
         raise ValueError("a stream needs a table that can be shipped (max_shipped)")
-    key = ["__h1", "__h2"]
-    hashed = df.withColumn("__h1", F.xxhash64("__items")).withColumn("__h2", F.xxhash64(F.lit(1), "__items"))
-    spots = (
-        hashed.select(*key, "__items")
-        .dropDuplicates(key)
-        .select(*key, F.posexplode("__items").alias("__pos", match))
-        .groupBy(*key, match)
-        .agg(F.collect_list("__pos").alias("__at"))
-    )
-    found = lookup_join(spots, table, [match])
-    rebuilt = (
-        found.select(*key, F.coalesce(F.col(value), default).alias("__v"), F.explode("__at").alias("__pos"))
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(F.struct("__pos", "__v"))).alias("__pairs"))
-        .select(*key, F.transform("__pairs", lambda p: p["__v"]).alias(out))
-    )
-    empty = F.array().cast(f"array<{dict(table.dtypes)[value]}>")
-    joined = hashed.drop("__items").join(rebuilt, key, "left").drop(*key)
-    return joined.withColumn(out, F.coalesce(F.col(out), empty))
+    kept = [c for c in df.columns if c != "__items"]
+    kind = df.schema["__items"].dataType
+    carried = [f for f in df.schema.fields if f.name != "__items"]
+    coded = [StructField("__items", ArrayType(IntegerType())), StructField("__block", LongType()), StructField("__words", kind)]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            items = batch.column("__items")
+            for start, n in pieces(pc.list_value_length(items), PIECE_ITEMS):
+                lists = items.slice(start, n)
+                flat = lists.flatten().dictionary_encode()
+                codes = pa.ListArray.from_arrays(_offsets(lists), flat.indices)
+                # the first row of a block carries its distinct elements
+                words = pa.ListArray.from_arrays(pa.array([0] + [len(flat.dictionary)] * n, pa.int32()), flat.dictionary)
+                columns = [batch.column(c).slice(start, n) for c in kept]
+                yield pa.RecordBatch.from_arrays([*columns, codes, pa.array([block] * n, pa.int64()), words], [*kept, *(f.name for f in coded)])
+                block += 1
+
+    blocks = materialize(df.select(*kept, "__items").mapInArrow(encode, StructType([*carried, *coded])), "blocks")
+    words = blocks.select(F.col("__block").alias("__of"), F.posexplode("__words").alias("__code", match))
+    found = words.join(table.select(match, value).hint("merge"), match).select("__of", "__code", value)
+    read = [f for f in blocks.schema.fields if f.name in kept]
+    made = StructType([*read, StructField(out, ArrayType(table.schema[value].dataType))])
+
+    def replace(rows: pa.Table, known: pa.Table) -> pa.Table:
+        keys, values = (known.column(c).combine_chunks() for c in ("__code", value))
+        return rows.select(kept).append_column(out, _replaced(rows.column("__items").combine_chunks(), keys, values, default))
+
+    return blocks.drop("__words").groupBy("__block").cogroup(found.groupBy("__of")).applyInArrow(replace, made)
 
 
 def token_lengths(df: DataFrame, ids_col: str = "input_ids", out: str = "n_tokens") -> DataFrame:

@@ -112,3 +112,16 @@ def test_batches_are_worked_on_in_pieces(spark):
     assert got == {0: many, 1: [], 2: [11], 3: [*many, t.UNK_ID], 4: []}
     text = {r.doc_id: r.text for r in t.decode(ids, vocab, unknown="?").collect()}
     assert text == {0: long.strip(), 1: "", 2: "b", 3: long + "?", 4: ""}
+
+
+def test_joined_blocks_exchange_an_element_once(spark):
+    """Rows of all lengths fall into blocks, and the frequent element is one row of the join for each of these."""
+    rows = [(i, "x " * (1 << (i % 12)) + f"w{i}") for i in range(600)] + [(600, None), (601, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    vocab = spark.createDataFrame([("x", 1), *((f"w{i}", i + 7) for i in range(0, 600, 2))], "token string, id int")
+    ids = t.tokenize(df, vocab, max_shipped=0)
+    got = {r.doc_id: r.input_ids for r in ids.collect()}
+    expected = {i: [1] * (1 << (i % 12)) + [i + 7 if i % 2 == 0 else t.UNK_ID] for i in range(600)}
+    assert got == expected | {600: [], 601: []}
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" in plan and "collect_list" not in plan
