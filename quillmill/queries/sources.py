@@ -44,6 +44,13 @@ def _write_csv(df, path):
     return path
 
 
+def _write_files(rows, path, *folders):
+    """One file per row of ``text``, in folders by the other columns. Tasks put their files in place themselves;
+    the driver would move them one by one."""
+    writer = rows.write.partitionBy(*folders).option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+
+
 @query(
     "manifest_scan",
     f"""WITH {DOCS} SELECT '/mnt/' || source || '/' || doc_id || '.tex' AS tex, year, year * 100 + month AS month,
@@ -240,13 +247,17 @@ def pretokenize(spark, sf):
     """
     root = scratch_path(spark, "papers")
     docs = documents(spark, sf).select("doc_id", "year", shard_key(F.col("year"), F.col("month")).alias("month"), "text")
-    docs.write.partitionBy("year", "month", "doc_id").option("maxRecordsPerFile", 1).text(root)
-    year, month, doc_id = (F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("long") for part in ("year", "month", "doc_id"))
-    listed = files.list_files(spark, root, "*.txt").select(F.col("path").alias("tex"), year.alias("year"), month.alias("month"), doc_id.alias("doc_id"))
-    held_out = F.col("doc_id") % 3 == 0
+    docs = docs.withColumn("held", (F.col("doc_id") % 3 == 0).cast("int"))
+    # a range of doc_ids for each task, so that its number and then a file's lead through a folder by doc_id
+    ranges = docs.repartitionByRange(4 * spark.sparkContext.defaultParallelism, "doc_id")
+    _write_files(ranges.sortWithinPartitions("year", "month", "held", "doc_id").drop("doc_id"), root, "year", "month", "held")
+    year, month, held = (F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("long").alias(part) for part in ("year", "month", "held"))
+    task, at = (F.regexp_extract("path", r"/part-([0-9]+)-[^/]*\.c([0-9]+)\.txt$", i).cast("long").alias(n) for i, n in ((1, "task"), (2, "at")))
+    listed = files.list_files(spark, root, "*.txt").select(F.col("path").alias("tex"), year, month, held, task, at)
+    listed = materialize(listed, "papers-listed")
     train, test = (
-        files.read_manifest(spark, _write_csv(listed.where(part).orderBy("doc_id"), scratch_path(spark, "manifest-csv")))
-        for part in (~held_out, held_out)
+        files.read_manifest(spark, _write_csv(listed.where(F.col("held") == part).orderBy("task", "at", "tex"), scratch_path(spark, "manifest-csv")))
+        for part in (0, 1)
     )
     manifest = materialize(split_manifests(train, test).select("split", "year", "month", "tex"), "split-manifest")
     papers = files.read_documents(spark, manifest, root=root, glob="*.txt")

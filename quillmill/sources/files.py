@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,8 +67,8 @@ def read_documents(
     else:
         files = reader.option("recursiveFileLookup", True).load(root)
     # the reader's own listing, which also has the files of zero bytes
-    listed = [(unquote(f),) for f in files.inputFiles()]
-    exist = spark.createDataFrame(listed, "path string").select(plain_path(F.col("path")).alias("path"))
+    listed = pa.table({"path": pa.array([unquote(f) for f in files.inputFiles()], pa.string())})
+    exist = spark.createDataFrame(listed).select(plain_path(F.col("path")).alias("path"))
     unseen = missing_files(keyed, exist).select(path_col).take(3)
     if unseen:
         raise FileNotFoundError(f"listed in the manifest but not found: {[r[0] for r in unseen]}")

@@ -182,3 +182,39 @@ def test_named_slices_skip_files(spark, tmp_path):
     plan = few._jdf.queryExecution().executedPlan()
     scan = plan.collectLeaves().head()
     assert scan.metrics().apply("numFiles").value() == 1
+
+
+@pytest.fixture()
+def manifests(monkeypatch):
+    """The manifests that queries read files by."""
+    seen, read = [], files.read_documents
+
+    def spied(spark, manifest, **options):
+        seen.append(manifest)
+        return read(spark, manifest, **options)
+
+    monkeypatch.setattr(files, "read_documents", spied)
+    return seen
+
+
+def test_papers_are_written_to_one_folder_a_shard(spark, tmp_path, manifests):
+    from quillmill.queries import QUERIES
+
+    n = 600
+    docs = spark.createDataFrame([(i, f"w{i}") for i in range(n)], "doc_id long, text string")
+    docs.select("*", F.lit("en").alias("lang"), F.lit("s").alias("source")).orderBy(F.rand(5)).repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "bib")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    report = QUERIES["pretokenize"](spark, str(tmp_path)).collect()
+    assert sum(r.blocks for r in report if r.split == "train") == n - n // 3 + sum(r.split == "train" and r.year == 0 and r.month == 1 and r.present for r in report)
+    (manifest,) = manifests
+    rows = manifest.collect()
+    assert len({r.tex.rsplit("/", 1)[0] for r in rows}) <= 4 * 12 * 2
+    assert len({r.tex for r in rows}) == len(rows)  # a file for each
+    shards = {}
+    for r in rows:
+        with open(r.tex) as f:
+            shards.setdefault((r.year, r.month), {}).setdefault(r.split, []).append(int(f.read().strip()[1:]))
+    for (year, month), split in shards.items():
+        held = [i for i in range(n) if i % 3 == 0 and (i % 4, i // 4 % 12 + 1 + i % 4 * 100) == (year, month)]
+        half = len(held) // 2
+        assert sorted(split.get("val", [])) == held[:half] and sorted(split.get("test", [])) == held[half : 2 * half]
