@@ -77,12 +77,12 @@ def raw_file_read(spark, sf):
     pages = table(spark, sf, "pages").select(
         (F.col("page_id") % 4).alias("year"), (F.col("page_id") % 12 + 1).alias("month"), "html"
     )
-    spread(pages, "year", "month").write.partitionBy("year", "month").option("maxRecordsPerFile", 1).text(root)
+    _write_files(spread(pages, "year", "month"), root, "year", "month")
     year, month = (F.regexp_extract("path", f"{part}=([0-9]+)", 1).cast("int") for part in ("year", "month"))
     manifest = files.list_files(spark, root, "*.txt").select(
         F.col("path").alias("tex"), year.alias("year"), month.alias("month")
     )
-    read = files.read_documents(spark, manifest, glob="*.txt")
+    read = files.read_documents(spark, materialize(manifest, "manifest"), glob="*.txt")
     return read.select("year", "month", F.md5("text").alias("text_md5"))
 
 

@@ -218,3 +218,12 @@ def test_papers_are_written_to_one_folder_a_shard(spark, tmp_path, manifests):
         held = [i for i in range(n) if i % 3 == 0 and (i % 4, i // 4 % 12 + 1 + i % 4 * 100) == (year, month)]
         half = len(held) // 2
         assert sorted(split.get("val", [])) == held[:half] and sorted(split.get("test", [])) == held[half : 2 * half]
+
+
+def test_raw_files_are_listed_once(spark, tmp_path, manifests):
+    from quillmill.queries import QUERIES
+
+    pages = spark.createDataFrame([(i, f"<p>{i}</p>") for i in range(30)], "page_id long, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert QUERIES["raw_file_read"](spark, str(tmp_path)).count() == 30
+    assert "binaryFile" not in manifests[0]._jdf.queryExecution().executedPlan().toString()
