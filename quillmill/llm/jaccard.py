@@ -45,8 +45,10 @@ ROUNDS = 2
 SMALL, DIRECT = 48, 1024
 #: Bytes of a sketch of a crowd, shingles for each byte of a set's own sketch.
 SKETCH, PER_BYTE = 128, 3
-#: Bits of the sketch that pairs of small regions are compared by, a multiple of 64.
-BITS = 256
+#: Parts of a set's own sketch at least, by which pairs of small regions are compared first; how many pairs at a time.
+PARTS, PAIRS = 256, 1 << 16
+#: Sketches of a region that one task counts.
+TALLIED = 4096
 #: Sets of a crowd for each pivot, pivots at most, and sets per block of a region.
 PER_PIVOT, MAX_PIVOTS, BLOCK = 256, 1024, 512
 #: Pairs of a pivot that share one copy of its text.
@@ -136,8 +138,8 @@ def sketch_of(elements: np.ndarray, width: int = SKETCH) -> bytes:
 
 
 def own_width(size: int) -> int:
-    """Bytes of the sketch of a set: the least power of two that has a byte for PER_BYTE shingles, BITS at least."""
-    return max(BITS, 1 << (-(-size // PER_BYTE) - 1).bit_length()) if size else BITS
+    """Bytes of the sketch of a set: the least power of two that has a byte for PER_BYTE shingles, PARTS at least."""
+    return max(PARTS, 1 << (-(-size // PER_BYTE) - 1).bit_length()) if size else PARTS
 
 
 def narrowed(sketch: bytes, width: int = SKETCH) -> np.ndarray:
@@ -232,26 +234,118 @@ def _narrow(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def close_pairs(small: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(p, x): pairs of different components in small regions (region, x, comp) that sizes and one bit a part leave possible."""
-    words = [f"b{i}" for i in range(BITS // 64)]
+    """(p, x): pairs of different components in regions of at most DIRECT sets (region, x, comp) that sizes and sketches leave possible.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A region is compared in the task that has it, with half a byte for each part of its sets' own sketches, so
+    that only pairs go on that these can't tell apart, however long the sets are.
+    """
+
+    def halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [np.packbits(narrowed(s, BITS) & 1) for s in batch.column("sketch").to_pylist()]
-            packed = np.concatenate([*bits, np.zeros(0, np.uint8)]).view(np.int64).reshape(-1, len(words))
-            made = [pa.array(np.ascontiguousarray(packed[:, i])) for i in range(len(words))]
-            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("size"), *made], ["x", "size", *words])
+            parts = (np.frombuffer(s, np.uint8) & 15 for s in batch.column("sketch").to_pylist())
+            packed = pa.array([(p[::2] | (p[1::2] << 4)).tobytes() for p in parts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.select(["x", "size"]).columns, packed], ["x", "size", "halves"])
 
     named = sets.select(F.col("node").alias("x"), F.col("n").alias("size"), "sketch").join(small.select("x").distinct(), "x")
-    bits = materialize(named.select("x", "size", "sketch").mapInArrow(run, "x bigint, size bigint, " + ", ".join(f"{w} bigint" for w in words)), "bits")
-    marked = small.select("region", "x", "comp").join(bits, "x")
-    one, other = marked.alias("one"), marked.alias("other")
-    of = [(F.col(f"one.{c}"), F.col(f"other.{c}")) for c in ("region", "comp", "x", "size", *words)]
-    region, comp, x, size = of[:4]
-    differ = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in of[4:]), F.lit(0))
-    close = (comp[0] != comp[1]) & (x[0] < x[1]) & (F.least(*size) * den >= F.greatest(*size) * num)
-    close &= differ * (den + num) <= (size[0] + size[1]) * (den - num)
-    return one.join(other, (region[0] == region[1]) & close).select(x[0].alias("p"), x[1].alias("x"))
+    halves = materialize(named.select("x", "size", "sketch").mapInArrow(halved, "x bigint, size bigint, halves binary"), "halves")
+    rows = small.select("region", "x", "comp").join(halves, "x").select("region", "comp", "x", "size", "halves")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = batch if held is None else pa.concat_batches([held, batch])
+            region = held.column("region").to_numpy()
+            last = int(np.searchsorted(region, region[-1]))  # the last region may go on in the next batch
+            yield from _close_in_regions(held.slice(0, last), num, den)
+            held = held.slice(last)
+        if held is not None:
+            yield from _close_in_regions(held, num, den)
+
+    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(compare, "p bigint, x bigint")
+
+
+def _close_in_regions(rows: pa.RecordBatch, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """(p, x) of whole regions (region, comp, x, size, halves), sorted by region: each row with those that follow it."""
+    region, comp, x, size = (rows.column(c).to_numpy() for c in ("region", "comp", "x", "size"))
+    halves = rows.column("halves").to_pylist()
+    narrow = np.array([_unpacked(h, PARTS) for h in halves], np.uint8).reshape(-1, PARTS)
+    at, step = np.arange(len(region)), 0
+    while len(at):
+        step += 1
+        at = at[at + step < len(region)]
+        at = at[region[at] == region[at + step]]
+        for start in range(0, len(at), PAIRS):
+            one = at[start : start + PAIRS]
+            near = (comp[one] != comp[one + step]) & (np.minimum(size[one], size[one + step]) * den >= np.maximum(size[one], size[one + step]) * num)
+            one = one[near]
+            most = (size[one] + size[one + step]) * (den - num) // (den + num)
+            kept = (narrow[one] != narrow[one + step]).sum(axis=1) <= most
+            pairs = [i for i, m in zip(one[kept].tolist(), most[kept].tolist()) if _differ(halves[i], halves[i + step]) <= m]
+            if pairs:
+                ends = x[pairs], x[np.array(pairs) + step]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], ["p", "x"])
+
+
+def _unpacked(halves: bytes, width: int) -> np.ndarray:
+    """Half a byte for each of ``width`` parts."""
+    both = np.frombuffer(halves, np.uint8)
+    return np.stack([both & 15, both >> 4], axis=1).reshape(width, -1).sum(axis=1, dtype=np.uint8) & 15
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    width = 2 * min(len(a), len(b))
+    return int((_unpacked(a, width) != _unpacked(b, width)).sum())
+
+
+def _tallied(batches: Iterator[pa.RecordBatch], codes_of, done) -> Iterator[pa.RecordBatch]:
+    """``done`` of each region, sorted, and how often its rows have each code; ``codes_of`` rows: (codes, how often or None)."""
+    region, tally = None, np.zeros(0, np.int64)
+    for batch in batches:
+        ids = batch.column("region").to_numpy()
+        starts = np.flatnonzero(np.concatenate([[len(ids) > 0], ids[1:] != ids[:-1]])).tolist()
+        for start, end in zip(starts, [*starts[1:], len(ids)]):
+            if not len(tally) or ids[start] != region:
+                if len(tally):
+                    yield done(region, tally)
+                region, tally = ids[start], np.zeros(SKETCH * 256, np.int64)
+            codes, n = codes_of(batch.slice(start, end - start))
+            tally += np.bincount(codes, weights=n, minlength=SKETCH * 256).astype(np.int64)
+    if len(tally):
+        yield done(region, tally)
+
+
+def commonest(placed: DataFrame) -> DataFrame:
+    """(region, common) of (region, x, sketch): the byte most sketches of a region have at each place, the larger one of a tie.
+
+    Sketches are counted where they lie, TALLIED of a region at a time, so that what moves on is a
+    region's counts, and no row for each byte.
+    """
+
+    def bytes_of(rows: pa.RecordBatch):
+        sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        return (sketches + np.arange(0, SKETCH * 256, 256)).ravel(), None
+
+    def counts(region, tally: np.ndarray) -> pa.RecordBatch:
+        codes = np.flatnonzero(tally)
+        return pa.RecordBatch.from_pylist([{"region": region, "codes": codes, "n": tally[codes]}], part)
+
+    def counted(rows: pa.RecordBatch):
+        return rows.column("codes").flatten().to_numpy(), rows.column("n").flatten().to_numpy()
+
+    def common(region, tally: np.ndarray) -> pa.RecordBatch:
+        most = 255 - tally.reshape(SKETCH, 256)[:, ::-1].argmax(axis=1)
+        return pa.RecordBatch.from_pylist([{"region": region, "common": most.astype(np.uint8).tobytes()}], whole)
+
+    part = pa.schema([("region", pa.int64()), ("codes", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
+    whole = pa.schema([("region", pa.int64()), ("common", pa.binary())])
+    shares = placed.groupBy("region").agg(F.ceil(F.count("*") / TALLIED).cast("int").alias("shares"))
+    dealt = placed.join(shares, "region").select("region", "sketch", F.pmod(F.xxhash64("x"), "shares").cast("int").alias("share"))
+    dealt = dealt.repartition("region", "share").sortWithinPartitions("region").select("region", "sketch")
+    tallied = dealt.mapInArrow(lambda b: _tallied(b, bytes_of, counts), "region bigint, codes array<int>, n array<bigint>")
+    tallied = tallied.repartition("region").sortWithinPartitions("region")
+    return tallied.mapInArrow(lambda b: _tallied(b, counted, common), "region bigint, common binary")
 
 
 def central_pairs(large: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
@@ -264,13 +358,6 @@ def central_pairs(large: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
     rank = F.col("n") if turn == 0 else F.xxhash64("region", F.lit(turn))
     placed = large.groupBy("x").agg(F.max(F.struct(rank.alias("rank"), "region"))["region"].alias("region"))
     placed = materialize(_narrow(placed, sets).select("region", "x", "sketch"), "placed")
-    at = F.explode(F.sequence(F.lit(1), F.lit(SKETCH)))
-    bytes_ = placed.select("region", "sketch", at.alias("at")).select("region", "at", F.expr("substring(sketch, at, 1)").alias("byte"))
-    counted = bytes_.groupBy("region", "at", F.hex("byte").alias("byte")).agg(F.count("*").alias("n"))
-    common = counted.groupBy("region", "at").agg(F.max(F.struct("n", "byte"))["byte"].alias("byte"))
-    common = common.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("at", "byte"))).alias("bytes"))
-    common = common.select("region", F.unhex(F.concat_ws("", F.transform("bytes", lambda b: b["byte"]))).alias("common"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             far = [
@@ -279,7 +366,7 @@ def central_pairs(large: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([*batch.select(["region", "x"]).columns, pa.array(far, pa.int32())], ["region", "x", "far"])
 
-    far = placed.join(common, "region").select("region", "x", "sketch", "common").mapInArrow(run, "region bigint, x bigint, far int")
+    far = placed.join(commonest(placed), "region").select("region", "x", "sketch", "common").mapInArrow(run, "region bigint, x bigint, far int")
     pivots = far.groupBy("region").agg(F.min(F.struct("far", "x"))["x"].alias("p"))
     return placed.select("region", "x").join(pivots, "region").where("x != p").select("p", "x").distinct()
 

@@ -625,6 +625,76 @@ def test_jaccard_near_copies_without_ids(spark):
     assert ordered((r.doc_id,) for r in keep_one_of_each(table, 3, 90, 100).collect()) == ordered([(3,), (7,), (None,), (None,)])
 
 
+def test_jaccard_regions_send_on_only_near_pairs(spark):
+    """Long sets without anything in common, and near copies below the threshold, stay in their region."""
+    import numpy as np
+
+    from quillmill.llm.jaccard import close_pairs, own_width, sketch_of
+
+    rng = np.random.default_rng(3)
+    draw = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    sets = [draw(5000) for _ in range(12)]
+    origin = draw(300)
+    sets += [np.concatenate([origin[25:], draw(25)]) for _ in range(1)] + [np.concatenate([rng.permutation(origin)[45:], draw(45)]) for _ in range(12)]
+    linked = {}
+    for size in (40, 300, 760, 5000):
+        a = draw(size)
+        b = np.concatenate([a[: size - size // 25], draw(size // 25)])  # a wider sketch may meet a narrower one
+        linked[len(sets)] = len(sets) + 1
+        sets += [a, b[: size - size // 50]]
+    both = lambda a, b: len(np.intersect1d(a, b))
+    exact = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * both(sets[i], sets[j]) >= 90 * (len(sets[i]) + len(sets[j]) - both(sets[i], sets[j]))}
+    assert set(linked.items()) <= exact
+    rows = [(i, len(s), bytearray(sketch_of(s, own_width(len(s))))) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(rows, "node long, n long, sketch binary")
+    members = spark.createDataFrame([(r, i, i) for r in (1, 2) for i in range(len(sets))], "region long, x long, comp long")
+    got = [tuple(r) for r in close_pairs(members, table, 90, 100).collect()]
+    assert exact <= set(got) and len(got) == 2 * len(set(got))
+    assert len(set(got)) <= len(exact) + 10
+    joined = spark.createDataFrame([(r, i, 0) for r in (1, 2) for i in range(len(sets))], "region long, x long, comp long")
+    assert close_pairs(joined, table, 90, 100).isEmpty()
+
+
+def test_jaccard_close_pairs_reach_over_batches(spark, monkeypatch):
+    import numpy as np
+
+    from quillmill.llm import jaccard
+
+    rng = np.random.default_rng(4)
+    sketches = [bytes(rng.integers(0, 256, 256, dtype=np.uint8)) for _ in range(6)]
+    rows = [(10 * i + j, 100, bytearray(s)) for i, s in enumerate(sketches) for j in range(4)]
+    table = spark.createDataFrame(rows, "node long, n long, sketch binary")
+    members = spark.createDataFrame([(x // 10, x, x) for x, _, _ in rows], "region long, x long, comp long")
+    monkeypatch.setattr(jaccard, "PAIRS", 2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sorted(tuple(r) for r in jaccard.close_pairs(members, table, 90, 100).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == sorted((10 * i + a, 10 * i + b) for i in range(6) for b in range(4) for a in range(b))
+
+
+def test_jaccard_pivots_without_a_row_for_each_byte(spark, monkeypatch):
+    import numpy as np
+
+    from quillmill.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "TALLIED", 3)  # a region's counts come from several tasks
+    rng = np.random.default_rng(5)
+    rows = [(i % 3 - 1, i, bytearray(rng.integers(250, 256, jaccard.SKETCH, dtype=np.uint8).tobytes())) for i in range(40)]
+    table = spark.createDataFrame(rows, "region long, x long, sketch binary")
+    found = jaccard.commonest(table)
+    assert "explode" not in found._jdf.queryExecution().toString().lower()
+    got = {r.region: bytes(r.common) for r in found.collect()}
+    expected = {}
+    for region in (-1, 0, 1):
+        columns = zip(*[r[2] for r in rows if r[0] == region])
+        expected[region] = bytes(max(((c.count(b), b) for b in set(c)))[1] for c in columns)
+    assert got == expected
+    assert jaccard.commonest(table.where("region > 5")).isEmpty()
+
+
 def test_sketches_never_exceed_the_difference():
     import numpy as np
 
