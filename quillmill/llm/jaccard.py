@@ -31,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import materialize, read
+from quillmill.llm.common import exact_hash, materialize, read
 from quillmill.llm.registry import query
 
 #: One of so many texts tells which shingles are frequent; the order of shingles knows the first FREQUENT of them (16 MB).
@@ -122,6 +122,11 @@ def frequent_shingles(rows: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     return known[order], n[order]
 
 
+def _text_hash(text: str) -> Column:
+    """The same for equal texts, whatever type they had; computed without Python, so that rows needn't pass through it again."""
+    return exact_hash(F.col(text).cast("string"))
+
+
 def set_hash(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
 
@@ -149,10 +154,12 @@ def narrowed(sketch: bytes, width: int = SKETCH) -> np.ndarray:
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(id, n_shingles, node, sketch, keys) of (id, text): node is the same for equal sets, null for empty ones.
 
-    Only the first row of a node in a task has its sketch and keys.
+    Only the first row of a node in a task has its sketch and keys. Other columns of ``docs`` are carried on.
     """
-    id_type = docs.schema["id"].dataType.simpleString()
-    rows = docs.select("id", F.col("text").cast("string").alias("text"))
+    others = [c for c in docs.columns if c not in ("id", "text")]
+    carried = ["id", *others]
+    types = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carried)
+    rows = docs.select(*carried, F.col("text").cast("string").alias("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(rows, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,9 +180,9 @@ def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])))
             made = [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), lists]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *made], ["id", "n_shingles", "node", "sketch", "keys"])
+            yield pa.RecordBatch.from_arrays([*batch.select(carried).columns, *made], [*carried, "n_shingles", "node", "sketch", "keys"])
 
-    return rows.mapInArrow(run, f"id {id_type}, n_shingles bigint, node bigint, sketch binary, keys array<bigint>")
+    return rows.mapInArrow(run, f"{types}, n_shingles bigint, node bigint, sketch binary, keys array<bigint>")
 
 
 def shared_regions(members: DataFrame) -> DataFrame:
@@ -584,18 +591,20 @@ def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc
     Two documents are linked if den * |A & B| >= num * |A | B|. Null, empty and blank texts have no
     shingles and no links. Null ids count as greater than all others; a component of such rows only has
     a null id. Equal sets are one node, known by a 64-bit hash; repeated rows fall together. Other columns
-    aren't read.
+    aren't read. ``with_node`` adds the node and ``text_hash``, by which rows of one id are told apart.
     """
     if not 4 * den <= 5 * num <= 5 * den:
         raise ValueError("num / den must be from 0.8 to 1: below, regions and sketches rule out too little")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sigs = materialize(signatures(rows, k, num, den), "signatures")
+    hashed = ["text_hash"] if with_node else []
+    sigs = rows.withColumn("text_hash", _text_hash("text")) if with_node else rows
+    sigs = materialize(signatures(sigs, k, num, den), "signatures")
     labels = linked_nodes(rows, sigs, k, num, den)
-    placed = sigs.select("id", "n_shingles", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = materialize(placed.select("id", "n_shingles", "node", "comp"), "placed")
+    placed = sigs.select("id", *hashed, "n_shingles", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    placed = materialize(placed.select("id", *hashed, "n_shingles", "node", "comp"), "placed")
     linked = placed.where("node is not null")
     least = materialize(linked.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("least")), "least")
-    node = ["node"] if with_node else []
+    node = ["node", *hashed] if with_node else []
     joined = linked.join(least, "comp").select(
         "id",
         *node,
@@ -613,26 +622,21 @@ def keep_one_of_each(docs: DataFrame, k: int, num: int, den: int, id_col: str =
     Columns stay as they are, whatever their names. Of repeated rows one stays.
     """
     found = join_classes(docs, k, num, den, id_col, text_col, with_node=True)
-    found = materialize(found.select("id", "node", "first"), "classes")
-    others = found.where("not first").select("id", "node").distinct()
-    repeated = found.where("first and node is not null").groupBy("id", "node").agg(F.count("*").alias("n")).where("n > 1")
-    marks = materialize(others.withColumn("mark", F.lit(0)).union(repeated.select("id", "node", F.lit(1))), "marks")
-    id_type = docs.schema[id_col].dataType.simpleString()
+    found = materialize(found.where("node is not null").select("id", "node", "text_hash", "first"), "classes")
+    counted = found.groupBy("id", "node", "text_hash", "first").agg(F.count("*").alias("n"))
+    counted = counted.withColumn("n_rows", F.sum("n").over(Window.partitionBy("id", "node")))  # over different texts
+    marks = counted.where("not first or n_rows > 1").select(
+        F.col("id").alias("of_id"), F.col("text_hash").alias("of_text"), F.when(F.col("first"), F.col("node")).alias("one")
+    )
+    right = _small(materialize(marks, "marks"))
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), record.alias("record"))
-    record_type = rows.schema["record"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t.as_py(), k) for t in batch.column("text")]
-            nodes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), nodes, batch.column("record")], ["id", "node", "record"])
-
-    noded = rows.mapInArrow(run, f"id {id_type}, node bigint, record {record_type}")
-    right = _small(marks.select(F.col("id").alias("of_id"), F.col("node").alias("of_node"), "mark"))
-    marked = noded.join(right, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("node") == F.col("of_node")), "left")
-    plain = marked.where("mark is null").select("record")
-    one = marked.where("mark = 1").dropDuplicates(["id", "node"]).select("record")
+    rows = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), record.alias("record"))
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text"))
+    plain = rows.join(right, same, "left_anti").select("record")
+    again = right.where("one is not null")
+    if again.isEmpty():
+        return plain.select("record.*")
+    one = rows.join(again, same).dropDuplicates(["id", "one"]).select("record")
     return plain.union(one).select("record.*")
 
 

@@ -625,6 +625,21 @@ def test_jaccard_near_copies_without_ids(spark):
     assert ordered((r.doc_id,) for r in keep_one_of_each(table, 3, 90, 100).collect()) == ordered([(3,), (7,), (None,), (None,)])
 
 
+def test_jaccard_keeps_rows_without_python(spark):
+    """Whole rows don't pass through Python again; rows of one id are told apart by their texts."""
+    from quillmill.llm.jaccard import keep_one_of_each
+
+    rng = random.Random(13)
+    one, two, three = (sentence(rng, 30).lower() for _ in range(3))
+    data = [(1, one), (1, one.upper()), (1, two), (2, two), (2, f" {three}"), (2, three), (3, three), (None, one), (4, ""), (4, None), (4, None)]
+    table = spark.createDataFrame(data, "doc_id long, text string")
+    kept = keep_one_of_each(table, 5, 80, 100)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert ordered((r.doc_id, (r.text or "").lower().strip()) for r in kept.collect()) == ordered(
+        [(1, one), (1, two), (2, three), (4, ""), (4, ""), (4, "")]
+    )
+
+
 def test_jaccard_regions_send_on_only_near_pairs(spark):
     """Long sets without anything in common, and near copies below the threshold, stay in their region."""
     import numpy as np
