@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from quillmill.operators.tokenization import PIECE_ITEMS, map_items, pieces
 from quillmill.session import materialize
@@ -26,6 +27,8 @@ PAIR = ("prev", "next")
 MAX_SHIPPED = 1_000_000
 #: A code with more than 1/HEAVY of the rows is dealt to SALTS tasks.
 HEAVY, SALTS = 1000, 32
+#: Tokens whose pairs one task of the curriculum counts.
+TASK_TOKENS = 1 << 20
 
 
 def pairs(df: DataFrame, keep: Sequence[str] = (), ids: str = "input_ids", ignore: int | None = None) -> DataFrame:
@@ -248,22 +251,27 @@ def curriculum(
     One pass for all shards: the counts a model has at shard t are running sums of
     per-shard deltas, taken per pair and per first token. A pair has at most one
     row per shard in its window.
+
+    Tasks are as many as the tokens ask for, so that none holds more than about ``TASK_TOKENS`` counts: rows
+    are dealt out by their plain columns and ids before their pairs are counted, and the counts by pair after it.
     """
     shard = list(shard)
-    counted = (
-        pairs(df.where(F.col("split").isin("train", "val")), ["split", *shard], ids)
-        .groupBy(*shard, *PAIR)
-        .agg(
-            F.count_if(F.col("split") == "train").alias("added"),
-            F.count_if(F.col("split") == "val").alias("c"),
-        )
-    )
+    rows = df.where(F.col("split").isin("train", "val"))
+    tokens = rows.agg(F.sum(F.size(ids).cast("bigint"))).first()[0] or 0
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-tokens // TASK_TOKENS))
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    dealt = F.pmod(F.xxhash64(*plain, F.col(ids)), F.lit(tasks)).cast("int")
+    rows = rows.select("split", *shard, ids, dealt.alias("__task")).repartition(tasks, "__task")
+    added, c = F.count_if(F.col("split") == "train").alias("added"), F.count_if(F.col("split") == "val").alias("c")
+    counted = pairs(rows, ["__task", "split", *shard], ids).groupBy("__task", *shard, *PAIR).agg(added, c)
+    counted = counted.repartition(tasks, *PAIR).groupBy(*shard, *PAIR).agg(F.sum("added").alias("added"), F.sum("c").alias("c"))
     until = Window.orderBy(*shard).rowsBetween(Window.unboundedPreceding, 0)
     pair_window = until.partitionBy(*PAIR)
-    seen = counted.withColumn("seen", F.sum("added").over(pair_window)).where(F.col("c") > 0)
+    counted = materialize(counted.withColumn("seen", F.sum("added").over(pair_window)), "shard-pairs")  # read twice
     by_token = counted.groupBy(*shard, "prev").agg(F.sum("added").alias("added"))
     totals = by_token.select(*shard, "prev", F.sum("added").over(until.partitionBy("prev")).alias("total"))
-    scored = seen.join(totals.hint("merge"), [*shard, "prev"]).withColumn(
+    seen = counted.where(F.col("c") > 0).repartition(tasks, *shard, "prev")
+    scored = seen.join(totals.repartition(tasks, *shard, "prev").hint("merge"), [*shard, "prev"]).withColumn(
         "loss", _smoothed(F.col("seen"), F.col("total"), k, vocab_size)
     )
     return (

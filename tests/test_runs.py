@@ -159,6 +159,32 @@ def test_curriculum_matches_shard_by_shard(spark):
     assert len(got) == len({(y, m) for _, s, y, m, _ in rows if s == "val"})
 
 
+def test_curriculum_tasks_grow_with_the_tokens(spark, monkeypatch):
+    """However large the table, a task has a bounded share of the pairs."""
+    rng = random.Random(9)
+    kinds = ["train", "train", "val", "test"]
+    rows = [(i, rng.choice(kinds), rng.randrange(2), 1 + i % 3, [rng.randrange(40) for _ in range(50)]) for i in range(200)]
+    rows += [(-1, "val", 0, 1, None), (-2, "train", 0, 1, []), (-3, "val", 1, 2, [7])]
+    df = spark.createDataFrame(rows, "doc_id long, split string, year int, month int, input_ids array<int>")
+    expected = ordered_losses(bigram.curriculum(df, 0.1, 41))
+    tasks, written = [], bigram.materialize
+
+    def counted(table, name):
+        held = table.groupBy(F.spark_partition_id()).count().collect()
+        tasks.append((len(held), max(r["count"] for r in held)))
+        return written(table, name)
+
+    monkeypatch.setattr(bigram, "materialize", counted)
+    monkeypatch.setattr(bigram, "TASK_TOKENS", 200)
+    got = ordered_losses(bigram.curriculum(df, 0.1, 41))
+    assert [g[:3] for g in got] == [e[:3] for e in expected] and all(same(g[3], e[3]) for g, e in zip(got, expected))
+    assert tasks[0][0] > 30 and tasks[0][1] < 600
+
+
+def ordered_losses(found):
+    return sorted((r.year, r.month, r.n_pairs, r.mean_loss) for r in found.collect())
+
+
 def test_map_batches_regroups(spark):
     sizes = lambda batch: {"n": [len(batch["id"])]}
     out = hooks.map_batches(spark.range(0, 25, 1, 1), sizes, "n long", 10, ["id"])
