@@ -27,8 +27,8 @@ PAIR = ("prev", "next")
 MAX_SHIPPED = 1_000_000
 #: A code with more than 1/HEAVY of the rows is dealt to SALTS tasks.
 HEAVY, SALTS = 1000, 32
-#: Tokens whose pairs one task of the curriculum counts.
-TASK_TOKENS = 1 << 20
+#: Tokens whose pairs one task of the curriculum counts; shares of rows for each task, several so that tasks are even.
+TASK_TOKENS, DEALT = 1 << 20, 64
 
 
 def pairs(df: DataFrame, keep: Sequence[str] = (), ids: str = "input_ids", ignore: int | None = None) -> DataFrame:
@@ -260,10 +260,10 @@ def curriculum(
     tokens = rows.agg(F.sum(F.size(ids).cast("bigint"))).first()[0] or 0
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-tokens // TASK_TOKENS))
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-    dealt = F.pmod(F.xxhash64(*plain, F.col(ids)), F.lit(tasks)).cast("int")
-    rows = rows.select("split", *shard, ids, dealt.alias("__task")).repartition(tasks, "__task")
+    dealt = F.pmod(F.xxhash64(*plain, F.col(ids)), F.lit(tasks * DEALT))
+    rows = rows.select("split", *shard, ids, dealt.alias("__share")).repartition(tasks, "__share")
     added, c = F.count_if(F.col("split") == "train").alias("added"), F.count_if(F.col("split") == "val").alias("c")
-    counted = pairs(rows, ["__task", "split", *shard], ids).groupBy("__task", *shard, *PAIR).agg(added, c)
+    counted = pairs(rows, ["__share", "split", *shard], ids).groupBy("__share", *shard, *PAIR).agg(added, c)
     counted = counted.repartition(tasks, *PAIR).groupBy(*shard, *PAIR).agg(F.sum("added").alias("added"), F.sum("c").alias("c"))
     until = Window.orderBy(*shard).rowsBetween(Window.unboundedPreceding, 0)
     pair_window = until.partitionBy(*PAIR)
