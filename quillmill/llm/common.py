@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.session import materialize, scratch_path
+from quillmill.session import materialize, scratch_path, small_batches
 
-__all__ = ["WORD", "exact_hash", "locate", "materialize", "read", "scratch_path", "uniform"]
+__all__ = ["WORD", "exact_hash", "locate", "materialize", "read", "scratch_path", "small_batches", "uniform"]
 
 #: A word of the fixed contracts: a run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"

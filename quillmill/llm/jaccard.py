@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import exact_hash, materialize, read
+from quillmill.llm.common import exact_hash, materialize, read, small_batches
 from quillmill.llm.registry import query
 
 #: One of so many texts tells which shingles are frequent; the order of shingles knows the first FREQUENT of them (16 MB).
@@ -55,7 +55,10 @@ PER_PIVOT, MAX_PIVOTS, BLOCK = 256, 1024, 512
 CHUNK = 64
 #: Ids of candidates are sent to all workers up to so many (tens of MB), joined by shuffle beyond.
 BROADCAST_ROWS = 1_000_000
-KNOWN_WORDS = 1 << 18
+#: What a Python worker remembers: hashes of words (about 180 bytes each, for as long as it lives), and nodes or texts of a task.
+KNOWN_WORDS, SEEN = 1 << 16, 1 << 18
+#: Rows with whole texts that a Python worker gets at a time.
+TEXTS = 1024
 
 _known: dict[bytes, int] = {}
 _P = (np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -108,15 +111,21 @@ def frequent_shingles(rows: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, counts) of the shingles that more than one of the sampled texts (text) have, sorted; at most FREQUENT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            sets = [shingles(t, k) for t in set(batch.column("text").to_pylist())]
+            if len(seen) > SEEN:
+                seen.clear()
+            texts = {xxhash.xxh3_128_digest(t or ""): t for t in batch.column("text").to_pylist()}
+            sets = [shingles(t, k) for h, t in texts.items() if h not in seen]
+            seen.update(texts)
             if sets:
                 made, n = np.unique(np.concatenate(sets), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(made.view(np.int64)), pa.array(n, pa.int64())], ["shingle", "n"])
 
     sampled = rows.select("text").where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
     counted = sampled.mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
-    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+    with small_batches(rows.sparkSession, TEXTS):
+        top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
     known, n = top.column("shingle").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(known)
     return known[order], n[order]
@@ -166,7 +175,7 @@ def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             n, nodes, sketches, keys = [], [], [], []
-            if len(seen) > KNOWN_WORDS:
+            if len(seen) > SEEN:
                 seen.clear()
             for t in batch.column("text"):
                 s = shingles(t.as_py(), k)
@@ -552,7 +561,9 @@ def linked_nodes(docs: DataFrame, sigs: DataFrame, k: int, num: int, den: int) -
             before = known.select("p", "x").union(known.select(F.col("x").alias("p"), F.col("p").alias("x")))
             pairs = pairs.join(before, ["p", "x"], "left_anti")
         possible = materialize(may_link(pairs, sets, num, den), "pairs")
-        return materialize(distances(docs, sets, possible, k), "distances")
+        apart = distances(docs, sets, possible, k)
+        with small_batches(docs.sparkSession, TEXTS):
+            return materialize(apart, "distances")
 
     def opened(members: DataFrame) -> DataFrame:
         """(region, x, comp, n) of the regions that aren't one component yet; n counts their sets."""
@@ -598,7 +609,9 @@ def join_classes(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     hashed = ["text_hash"] if with_node else []
     sigs = rows.withColumn("text_hash", _text_hash("text")) if with_node else rows
-    sigs = materialize(signatures(sigs, k, num, den), "signatures")
+    sigs = signatures(sigs, k, num, den)
+    with small_batches(docs.sparkSession, TEXTS):
+        sigs = materialize(sigs, "signatures")
     labels = linked_nodes(rows, sigs, k, num, den)
     placed = sigs.select("id", *hashed, "n_shingles", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     placed = materialize(placed.select("id", *hashed, "n_shingles", "node", "comp"), "placed")

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "quillmill") -> SparkSession:
@@ -62,3 +65,18 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python gets at most ``rows`` rows at a time in what is executed inside; for steps that pass whole texts.
+
+    Both sides hold a batch more than once, next to the JVM's heap.
+    """
+    before = int(spark.conf.get(BATCH_CONF))
+    if before <= 0 or rows < before:
+        spark.conf.set(BATCH_CONF, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, str(before))

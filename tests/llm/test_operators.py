@@ -640,6 +640,33 @@ def test_jaccard_keeps_rows_without_python(spark):
     )
 
 
+def test_jaccard_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """Steps that read whole texts get bounded batches; the session's setting is as before afterwards."""
+    from quillmill.llm import jaccard
+    from quillmill.session import BATCH_CONF, small_batches
+
+    rng = random.Random(17)
+    texts = [sentence(rng, 20) for _ in range(30)]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *(f"{t} end" for t in texts), texts[0]])], "doc_id long, text string")
+    at, write, before = {}, jaccard.materialize, spark.conf.get(BATCH_CONF)
+
+    def noted(df, name):
+        at.setdefault(name, set()).add(int(spark.conf.get(BATCH_CONF)))
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard, "materialize", noted)
+    found = {r.id: r.component_id for r in jaccard.join_classes(table, 3, 90, 100).collect()}
+    assert found == {i: i % 30 for i in range(61)}
+    assert at["signatures"] == at["distances"] == {jaccard.TEXTS} and at["regions"] == {int(before)}
+    assert spark.conf.get(BATCH_CONF) == before and jaccard.KNOWN_WORDS <= 1 << 16
+    with small_batches(spark, 3):
+        again = {r.id: r.component_id for r in jaccard.join_classes(table, 3, 90, 100).collect()}
+        assert again == found and spark.conf.get(BATCH_CONF) == "3"
+    with pytest.raises(KeyError), small_batches(spark, 3):
+        raise KeyError
+    assert spark.conf.get(BATCH_CONF) == before
+
+
 def test_jaccard_regions_send_on_only_near_pairs(spark):
     """Long sets without anything in common, and near copies below the threshold, stay in their region."""
     import numpy as np
