@@ -227,3 +227,48 @@ def test_raw_files_are_listed_once(spark, tmp_path, manifests):
     pages.write.parquet(f"{tmp_path}/pages.parquet")
     assert QUERIES["raw_file_read"](spark, str(tmp_path)).count() == 30
     assert "binaryFile" not in manifests[0]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def tree(tmp_path):
+    """Files on all levels, some of them hidden, empty or linked."""
+    for i, name in enumerate(
+        ["a.tex", "_h.tex", ".h.tex", "x._COPYING_", "k=1/b.tex", "k=1/_l=2/c.tex", "_k/d.tex", ".k/e.tex", "p q/%41 é.tex", "p q/+&.tex",
+         "1/2/3/4/5/6/f.tex", "1/2/3/4/5/_6/g.tex", "1/2/3/_h.tex", "1/2/g.txt", "1/2/3/h.tex", "1/i.tex"]
+    ):
+        write(tmp_path / "tree" / name, "x" * (i + 1))
+    write(tmp_path / "tree/1/2/3/4/empty.tex", "")
+    (tmp_path / "tree/1/hollow").mkdir()
+    (tmp_path / "tree/1/nowhere.tex").symlink_to(tmp_path / "gone")
+    write(tmp_path / "elsewhere/linked/j.tex", "linked")
+    (tmp_path / "tree/link").symlink_to(tmp_path / "elsewhere")
+    return tmp_path / "tree"
+
+
+@pytest.mark.parametrize("glob", ["*", "?.t[ef]x", "[!a-c].tex", "[^f].t?x", "{a,b,g}.{tex,txt}", "%41*", "\\+&.tex", "a*e*x"])
+def test_tasks_list_what_spark_lists(spark, tree, glob):
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    expected = reader.load(str(tree)).select(files.plain_path(F.col("path")), "length")
+    listed = files.list_files(spark, str(tree), glob)
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, expected.collect()))
+    assert "binaryFile" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("options", [{}, {"max_listed": 1}])
+def test_tasks_open_files_without_moving_them(spark, tree, monkeypatch, options):
+    """No names go through the driver, no contents through an exchange or a join; large ones are handed on in pieces."""
+    monkeypatch.setattr(files, "BATCH_BYTES", 8)
+    listed = files.list_files(spark, str(tree), "*.tex").select(F.concat(F.lit("file:"), "path").alias("tex"), F.array("length").alias("n"))
+    lost = str(tree / "1/2/3/4/empty.tex")
+    manifest = listed.union(listed.limit(3)).union(spark.createDataFrame([(lost, [0])], "tex string, n array<bigint>"))
+    read = files.read_documents(spark, manifest, root=f"file://{tree}", **options)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "Join" not in plan
+    rows = read.collect()
+    assert len(rows) == listed.count() + 4
+    for r in rows:
+        with open(r.tex.removeprefix("file:"), "rb") as f:
+            assert r.text == f.read().decode() and r.n == [len(r.text)]
+    for bad in (f"{tree}//a.tex", f"{tree}/1/hollow", f"{tree}/no/a.tex", None):
+        with pytest.raises(FileNotFoundError):
+            files.read_documents(spark, spark.createDataFrame([(bad,), (f"{tree}/a.tex",)], "tex string"), root=str(tree), **options)
