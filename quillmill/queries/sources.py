@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from quillmill.functions.columns import shard_key
@@ -25,7 +28,7 @@ from quillmill.queries.base import (
     tokenized,
     vocabulary,
 )
-from quillmill.session import materialize, scratch_path
+from quillmill.session import materialize, scratch_path, small_batches
 from quillmill.sources import datasets, files, shards
 from quillmill.sources.datasets import spread
 from quillmill.sources.records import read_csv
@@ -44,11 +47,42 @@ def _write_csv(df, path):
     return path
 
 
-def _write_files(rows, path, *folders):
-    """One file per row of ``text``, in folders by the other columns. Tasks put their files in place themselves;
-    the driver would move them one by one."""
-    writer = rows.write.partitionBy(*folders).option("maxRecordsPerFile", 1)
-    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+def _write_files(rows, path, folders, order=()):
+    """One file per row of ``text``, in folders by other columns, numbered in a task by ``order`` within a folder.
+
+    Tasks write local files themselves: Spark starts a process for each file's access rights there. A task that runs
+    again has the same rows in the same order, and so puts the same files in place.
+    """
+    (text,) = (c for c in rows.columns if c not in (*folders, *order))
+    ordered = rows.sortWithinPartitions(*folders, *order, text).select(*folders, text)
+    local = files.local_paths(ordered.sparkSession, [path])
+    if local is None:  # Spark's tasks put their files in place themselves; the driver would move them one by one
+        writer = ordered.write.partitionBy(*folders).option("maxRecordsPerFile", 1)
+        writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+        return
+    (root,) = local
+    os.makedirs(root)
+
+    def write(batches):
+        task, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        folder, at = None, 0
+        for batch in batches:
+            for *parts, content in zip(*batch.columns):
+                here = "/".join([root, *(f"{name}={part.as_py()}" for name, part in zip(folders, parts))])
+                if here != folder:
+                    os.makedirs(here, exist_ok=True)
+                    folder, at = here, 0
+                name = f"part-{task:05d}-text.c{at:03d}.txt"
+                with open(f"{here}/.{name}.{attempt}", "wb") as file:
+                    file.write(content.as_py() or b"")
+                    file.write(b"\n")
+                os.replace(file.name, f"{here}/{name}")
+                at += 1
+        yield from ()
+
+    plain = ordered.select(*[F.coalesce(F.col(f).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias(f) for f in folders], F.col(text).cast("binary"))
+    with small_batches(ordered.sparkSession, 1024):
+        plain.mapInArrow(write, "none int").write.format("noop").mode("overwrite").save()
 
 
 @query(
@@ -77,7 +111,7 @@ def raw_file_read(spark, sf):
     pages = table(spark, sf, "pages").select(
         (F.col("page_id") % 4).alias("year"), (F.col("page_id") % 12 + 1).alias("month"), "html"
     )
-    _write_files(spread(pages, "year", "month"), root, "year", "month")
+    _write_files(spread(pages, "year", "month"), root, ["year", "month"])
     year, month = (F.regexp_extract("path", f"{part}=([0-9]+)", 1).cast("int") for part in ("year", "month"))
     manifest = files.list_files(spark, root, "*.txt").select(
         F.col("path").alias("tex"), year.alias("year"), month.alias("month")
@@ -250,7 +284,7 @@ def pretokenize(spark, sf):
     docs = docs.withColumn("held", (F.col("doc_id") % 3 == 0).cast("int"))
     # a range of doc_ids for each task, so that its number and then a file's lead through a folder by doc_id
     ranges = docs.repartitionByRange(4 * spark.sparkContext.defaultParallelism, "doc_id")
-    _write_files(ranges.sortWithinPartitions("year", "month", "held", "doc_id").drop("doc_id"), root, "year", "month", "held")
+    _write_files(ranges, root, ["year", "month", "held"], ["doc_id"])
     year, month, held = (F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("long").alias(part) for part in ("year", "month", "held"))
     task, at = (F.regexp_extract("path", r"/part-([0-9]+)-[^/]*\.c([0-9]+)\.txt$", i).cast("long").alias(n) for i, n in ((1, "task"), (2, "at")))
     listed = files.list_files(spark, root, "*.txt").select(F.col("path").alias("tex"), year, month, held, task, at)

@@ -229,6 +229,57 @@ def test_raw_files_are_listed_once(spark, tmp_path, manifests):
     assert "binaryFile" not in manifests[0]._jdf.queryExecution().executedPlan().toString()
 
 
+def texts_by_name(root):
+    return {str(p.relative_to(root)): p.read_bytes() for p in root.rglob("*") if p.is_file()}
+
+
+def test_tasks_write_a_file_a_row(spark, tmp_path):
+    """Nothing else is written, and rows that come in another order give the same files."""
+    from quillmill.queries.sources import _write_files
+
+    rows = [(i % 2, i // 4, f"text {i % 7}\r\n é" if i % 5 else None) for i in range(40)]
+    for name, order in (("a", rows), ("b", rows[::-1])):
+        df = spark.createDataFrame(order, "part int, id int, text string").repartition(3, "part", "id")
+        _write_files(df, f"{tmp_path}/{name}", ["part"], ["id"])
+    written = texts_by_name(tmp_path / "a")
+    assert sorted(written.values()) == sorted(f"{text or ''}\n".encode() for _, _, text in rows)
+    assert written == texts_by_name(tmp_path / "b") and {name.split("/")[0] for name in written} == {"part=0", "part=1"}
+    numbered = [(int(n.split("-")[1]), int(n.split(".c")[1].split(".")[0])) for n in written if n.startswith("part=1")]
+    assert len(set(numbered)) == len(numbered) == 20 and min(at for _, at in numbered) == 0
+
+
+def test_no_rows_make_an_empty_folder(spark, tmp_path):
+    from quillmill.queries.sources import _write_files
+
+    _write_files(spark.createDataFrame([], "part int, text string"), f"file://{tmp_path}/none", ["part"])
+    assert files.list_files(spark, f"{tmp_path}/none", "*.txt").collect() == []
+
+
+@pytest.fixture()
+def store(spark, tmp_path):
+    """A path that only Spark reads, to the folder ``tmp_path``/in."""
+    name = f"s{tmp_path.name}".replace("_", "")
+    (tmp_path / "in").mkdir()
+    spark.sparkContext._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{name}.link./in", f"file://{tmp_path}/in")
+    return f"viewfs://{name}/in"
+
+
+def test_files_of_a_store(spark, tmp_path, store):
+    from quillmill.queries.sources import _write_files
+
+    df = spark.createDataFrame([(i % 2, i, f"text {i}") for i in range(12)], "part int, id int, text string")
+    _write_files(df, f"{store}/files", ["part"], ["id"])
+    (tmp_path / "in/files/part=0/empty.txt").touch()
+    listed = files.list_files(spark, f"{store}/files", "*.txt")
+    assert listed.count() == 12 and all(r.path.startswith(store) for r in listed.collect())
+    manifest = listed.select(F.col("path").alias("tex")).union(spark.createDataFrame([(f"{store}/files/part=0/empty.txt",)], "tex string"))
+    for limits in ({}, {"max_listed": 1, "root": f"{store}/files"}):
+        got = files.read_documents(spark, manifest, **limits)
+        assert sorted(r.text for r in got.collect()) == sorted(["", *(f"text {i}\n" for i in range(12))])
+    with pytest.raises(FileNotFoundError, match="lost"):
+        files.read_documents(spark, manifest.union(manifest.select(F.lit(f"{store}/files/part=0/lost.txt"))))
+
+
 @pytest.fixture()
 def tree(tmp_path):
     """Files on all levels, some of them hidden, empty or linked."""
