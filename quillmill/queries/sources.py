@@ -48,16 +48,21 @@ def _write_csv(df, path):
 
 
 def _write_files(rows, path, folders, order=()):
-    """One file per row of ``text``, in folders by other columns, numbered in a task by ``order`` within a folder.
+    """One file per row of ``text``, in folders by other columns.
 
-    Tasks write local files themselves: Spark starts a process for each file's access rights there. A task that runs
-    again has the same rows in the same order, and so puts the same files in place.
+    Tasks write local files themselves: Spark starts a process for each file's access rights there. Names have the
+    task, the ``order`` columns and a number within task and folder. A task that runs again has the same rows in the
+    same order, and so puts the same files in place. Names by Spark have task and number only, so in stores that only
+    Spark reads a task gets a range of the order.
     """
+    spark = rows.sparkSession
     (text,) = (c for c in rows.columns if c not in (*folders, *order))
-    ordered = rows.sortWithinPartitions(*folders, *order, text).select(*folders, text)
-    local = files.local_paths(ordered.sparkSession, [path])
+    local = files.local_paths(spark, [path])
+    if order and local is None:
+        rows = rows.repartitionByRange(4 * spark.sparkContext.defaultParallelism, *order)
+    ordered = rows.sortWithinPartitions(*folders, *order, text)
     if local is None:  # Spark's tasks put their files in place themselves; the driver would move them one by one
-        writer = ordered.write.partitionBy(*folders).option("maxRecordsPerFile", 1)
+        writer = ordered.select(*folders, text).write.partitionBy(*folders).option("maxRecordsPerFile", 1)
         writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
         return
     (root,) = local
@@ -68,11 +73,11 @@ def _write_files(rows, path, folders, order=()):
         folder, at = None, 0
         for batch in batches:
             for *parts, content in zip(*batch.columns):
-                here = "/".join([root, *(f"{name}={part.as_py()}" for name, part in zip(folders, parts))])
+                here = "/".join([root, *(f"{name}={part}" for name, part in zip(folders, parts))])
                 if here != folder:
                     os.makedirs(here, exist_ok=True)
                     folder, at = here, 0
-                name = f"part-{task:05d}-text.c{at:03d}.txt"
+                name = "-".join([f"part-{task:05d}", *map(str, parts[len(folders) :])]) + f".c{at:03d}.txt"
                 with open(f"{here}/.{name}.{attempt}", "wb") as file:
                     file.write(content.as_py() or b"")
                     file.write(b"\n")
@@ -80,8 +85,9 @@ def _write_files(rows, path, folders, order=()):
                 at += 1
         yield from ()
 
-    plain = ordered.select(*[F.coalesce(F.col(f).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias(f) for f in folders], F.col(text).cast("binary"))
-    with small_batches(ordered.sparkSession, 1024):
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias(c) for c in (*folders, *order)]
+    plain = ordered.select(*named, F.col(text).cast("binary"))
+    with small_batches(spark, 1024):
         plain.mapInArrow(write, "none int").write.format("noop").mode("overwrite").save()
 
 
@@ -282,15 +288,15 @@ def pretokenize(spark, sf):
     root = scratch_path(spark, "papers")
     docs = documents(spark, sf).select("doc_id", "year", shard_key(F.col("year"), F.col("month")).alias("month"), "text")
     docs = docs.withColumn("held", (F.col("doc_id") % 3 == 0).cast("int"))
-    # a range of doc_ids for each task, so that its number and then a file's lead through a folder by doc_id
-    ranges = docs.repartitionByRange(4 * spark.sparkContext.defaultParallelism, "doc_id")
-    _write_files(ranges, root, ["year", "month", "held"], ["doc_id"])
+    # files' names lead through a folder by doc_id: they have it, or else the number of the task that has a range of them
+    _write_files(docs, root, ["year", "month", "held"], ["doc_id"])
     year, month, held = (F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("long").alias(part) for part in ("year", "month", "held"))
     task, at = (F.regexp_extract("path", r"/part-([0-9]+)-[^/]*\.c([0-9]+)\.txt$", i).cast("long").alias(n) for i, n in ((1, "task"), (2, "at")))
-    listed = files.list_files(spark, root, "*.txt").select(F.col("path").alias("tex"), year, month, held, task, at)
+    named = F.regexp_extract("path", r"/part-[0-9]+-([0-9]+)\.c[0-9]+\.txt$", 1).try_cast("long").alias("named")
+    listed = files.list_files(spark, root, "*.txt").select(F.col("path").alias("tex"), year, month, held, named, task, at)
     listed = materialize(listed, "papers-listed")
     train, test = (
-        files.read_manifest(spark, _write_csv(listed.where(F.col("held") == part).orderBy("task", "at", "tex"), scratch_path(spark, "manifest-csv")))
+        files.read_manifest(spark, _write_csv(listed.where(F.col("held") == part).orderBy("named", "task", "at", "tex"), scratch_path(spark, "manifest-csv")))
         for part in (0, 1)
     )
     manifest = materialize(split_manifests(train, test).select("split", "year", "month", "tex"), "split-manifest")

@@ -86,7 +86,8 @@ def read_documents(
 
 
 def _raise_missing(keyed: DataFrame, exist: DataFrame, path_col: str) -> None:
-    unseen = missing_files(keyed, exist).select(path_col).take(3)
+    # without the hint Spark takes a listing to be as small as the table of folders, and sends it to all workers
+    unseen = missing_files(keyed, exist.hint("merge")).select(path_col).take(3)
     if unseen:
         raise FileNotFoundError(f"listed in the manifest but not found: {[r[0] for r in unseen]}")
 

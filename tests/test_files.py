@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quillmill import session
 from quillmill.operators import splits
 from quillmill.sources import datasets, files, shards
 
@@ -280,6 +281,23 @@ def test_files_of_a_store(spark, tmp_path, store):
         files.read_documents(spark, manifest.union(manifest.select(F.lit(f"{store}/files/part=0/lost.txt"))))
 
 
+def test_papers_of_a_store_are_split_alike(spark, tmp_path, store, manifests, monkeypatch):
+    """The shared folder is in a store, whose files Spark writes under its own names."""
+    from quillmill.queries import QUERIES
+
+    docs = spark.createDataFrame([(i, f"w{i} w", "en", "s") for i in range(200)], "doc_id long, text string, lang string, source string")
+    docs.orderBy(F.rand(5)).repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "bib")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    splits = []
+    for shared in (f"file://{tmp_path}/shared", f"{store}/shared"):
+        monkeypatch.setattr(session, "shared_dir", lambda spark, shared=shared: shared)
+        QUERIES["pretokenize"](spark, str(tmp_path)).collect()
+        read = files.read_documents(spark, manifests.pop(), root=shared, glob="*.txt")
+        splits.append(sorted((r.split, r.year, r.month, r.text) for r in read.collect()))
+        manifests.clear()
+    assert splits[0] == splits[1] and {s[0] for s in splits[0]} == {"train", "val", "test"}
+
+
 @pytest.fixture()
 def tree(tmp_path):
     """Files on all levels, some of them hidden, empty or linked."""
@@ -310,11 +328,14 @@ def test_tasks_open_files_without_moving_them(spark, tree, monkeypatch, options)
     """No names go through the driver, no contents through an exchange or a join; large ones are handed on in pieces."""
     monkeypatch.setattr(files, "BATCH_BYTES", 8)
     listed = files.list_files(spark, str(tree), "*.tex").select(F.concat(F.lit("file:"), "path").alias("tex"), F.array("length").alias("n"))
+    seen, missing = [], files.missing_files
+    monkeypatch.setattr(files, "missing_files", lambda *tables: seen.append(missing(*tables)) or seen[-1])
     lost = str(tree / "1/2/3/4/empty.tex")
     manifest = listed.union(listed.limit(3)).union(spark.createDataFrame([(lost, [0])], "tex string, n array<bigint>"))
     read = files.read_documents(spark, manifest, root=f"file://{tree}", **options)
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "binaryFile" not in plan and "Join" not in plan
+    assert "Broadcast" not in seen[-1]._jdf.queryExecution().executedPlan().toString()
     rows = read.collect()
     assert len(rows) == listed.count() + 4
     for r in rows:
